@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe
+from pagemill.llm import bpe, brown, urls
 
 QUERIES = {
+    "op7_brown_lm": brown.query,
+    "op8_url_rules": urls.query,
     "op10_bpe": bpe.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_url_rules": urls.SQL,
+}
