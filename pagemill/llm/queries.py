@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, urls
+from pagemill.llm import bpe, brown, quality, urls
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op7_brown_lm": brown.query,
     "op8_url_rules": urls.query,
     "op10_bpe": bpe.query,
