@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, quality, urls
+from pagemill.llm import bpe, brown, langid, quality, urls
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op5_language": langid.query,
     "op7_brown_lm": brown.query,
     "op8_url_rules": urls.query,
     "op10_bpe": bpe.query,
