@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, langid, quality, urls
+from pagemill.llm import bpe, brown, dedup, fingerprint, langid, packing, quality, urls
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op3_best_fit": packing.query,
+    "op4_order_minhash": dedup.query,
     "op5_language": langid.query,
+    "op6_edit_fingerprint": fingerprint.query,
     "op7_brown_lm": brown.query,
     "op8_url_rules": urls.query,
     "op10_bpe": bpe.query,
