@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, dedup, fingerprint, langid, packing, quality, urls
+from pagemill.llm import bpe, brown, dedup, fingerprint, langid, neighbours, packing, quality, urls
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_edit_fingerprint": fingerprint.query,
     "op7_brown_lm": brown.query,
     "op8_url_rules": urls.query,
+    "op9_collision_counting": neighbours.query,
     "op10_bpe": bpe.query,
 }
 
