@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, dedup, fingerprint, langid, neighbours, packing, quality, urls
+from pagemill.llm import bpe, brown, dedup, fingerprint, langid, licenses, neighbours, packing, quality, urls
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op2_license_scan": licenses.query,
     "op3_best_fit": packing.query,
     "op4_order_minhash": dedup.query,
     "op5_language": langid.query,
