@@ -42,7 +42,8 @@ BLOCK_CHARS = 4_000_000
 def tables() -> tuple[np.ndarray, np.ndarray]:
     """Of each step and character class: whether the walk moves on, and the sign it adds."""
     h = mix(np.arange(PERIOD * 256, dtype=np.int64), 17).reshape(PERIOD, 256)
-    return (h & np.uint64(1)).astype(np.int64), ((h >> np.uint64(1) & np.uint64(1)).astype(np.int16) * 2 - 1)
+    moves, signs = (h & np.uint64(1)).astype(np.int64), (h >> np.uint64(1) & np.uint64(1)).astype(np.int16) * 2 - 1
+    return np.pad(moves, ((0, 0), (0, 1))), np.pad(signs, ((0, 0), (0, 1)))  # class 256, past the end: no move, no sign
 
 
 MOVES, SIGNS = tables()
@@ -76,7 +77,8 @@ def embed(texts: list[str]) -> np.ndarray:
     sums = np.zeros((len(texts), BITS), np.int32)
     if len(points):
         starts = starts_of(points, ends)
-        classes = np.append((mix(points, 1) & np.uint64(255)).astype(np.uint8), np.uint8(0))
+        classes = np.append((mix(points, 1) & np.uint64(255)).astype(np.int16), np.int16(256))
+        past = len(points)
         stops = np.r_[starts[1:], len(points)]
         owner = np.searchsorted(ends, starts, side="right")
         order = np.argsort(starts - stops, kind="stable")  # longest first, so those that end leave the tail
@@ -88,14 +90,14 @@ def embed(texts: list[str]) -> np.ndarray:
             c = classes[at]
             k = step % PERIOD
             counters[step % BITS, lanes] += SIGNS[k][c]
-            at = at + MOVES[k][c]
+            at += MOVES[k][c]
+            going = at < stop
             step += 1
             if step % 32 == 0 or alive < 64:
-                going = at < stop
                 at, stop, lanes = at[going], stop[going], lanes[going]
                 alive = len(at)
             else:
-                at = np.minimum(at, stop)
+                at[~going] = past
         np.add.at(sums, owner, counters.T)
     return np.packbits(sums > 0, axis=1)
 
