@@ -1,6 +1,8 @@
-"""Registered queries: name -> (DataFrame function, DuckDB SQL)."""
+"""All registered queries: name -> function of (spark, sf_dir), and name -> DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from pagemill.plans import documents, queue, runs  # noqa: F401  they register their queries
+from pagemill.plans.catalogue import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
