@@ -62,11 +62,11 @@ def applied(stream: DataFrame, table: VersionedTable, change: Callable[[DataFram
 TRACKED = "job_id long, processed_pages long, failed_pages long, last_page long"
 
 
-def tracked(results: DataFrame, most_idle_ms: int = 600_000) -> DataFrame:
+def tracked(results: DataFrame, most_idle_ms: int | None = None) -> DataFrame:
     """A stream of results (job_id, page, failed) as a stream of job states.
 
     Each page counts once, however often it comes: state keeps the pages seen. A job that gets no
-    page for so many milliseconds is forgotten.
+    page for ``most_idle_ms`` is forgotten; such a stream runs until it is stopped.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -78,10 +78,11 @@ def tracked(results: DataFrame, most_idle_ms: int = 600_000) -> DataFrame:
             for page, failed in zip(batch["page"].tolist(), batch["failed"].tolist(), strict=True):
                 pages[page] = bool(failed) or pages.get(page, False)
         state.update((list(pages), list(pages.values())))
-        state.setTimeoutDuration(most_idle_ms)
+        if most_idle_ms:
+            state.setTimeoutDuration(most_idle_ms)
         yield pd.DataFrame({"job_id": [key[0]], "processed_pages": [len(pages)], "failed_pages": [sum(pages.values())], "last_page": [max(pages)]})
 
-    return results.select("job_id", "page", "failed").groupBy("job_id").applyInPandasWithState(update, TRACKED, "pages array<long>, failed array<boolean>", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return results.select("job_id", "page", "failed").groupBy("job_id").applyInPandasWithState(update, TRACKED, "pages array<long>, failed array<boolean>", "update", GroupStateTimeout.ProcessingTimeTimeout if most_idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def newest(table: DataFrame, batch: DataFrame) -> DataFrame:
