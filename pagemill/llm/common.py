@@ -50,7 +50,10 @@ def crc_mod(column, modulus: int):
 
 
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column and the n + 1 offsets into them; null counts as empty."""
+    """The bytes of a string column and the n + 1 offsets into them; null counts as empty.
+
+    Without nulls a column's own bytes are returned, not a copy.
+    """
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
     array = array.cast(pa.large_binary()).fill_null(b"")

@@ -38,7 +38,8 @@ from pagemill.llm.links import components, stars, verified
 
 WORDS, SIMILARITY = 5, 0.8
 TABLES, PICKED = 24, 4
-BLOCK_BYTES = 4_000_000
+#: Bytes of text that a task hashes at a time (a longer text is hashed alone).
+BLOCK_BYTES = 1_000_000
 
 #: Of each byte: 0 left out (ASCII punctuation), 1 between words, 2 part of a word.
 KINDS = np.full(256, 2, np.uint8)
