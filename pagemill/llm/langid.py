@@ -288,6 +288,9 @@ LEAST_SCORE = 0.4
 
 def kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose language is determined with enough certainty, with all their columns."""
-    found = identify(docs, learned(docs), name="__language")
-    certain = (F.col("__language.lang_pred") != UNDETERMINED) & (F.col("__language.score") >= LEAST_SCORE)
-    return found.where(certain).drop("__language")
+    name = "__language"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    found = identify(docs, learned(docs), name=name)
+    certain = (F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= LEAST_SCORE)
+    return found.where(certain).drop(name)

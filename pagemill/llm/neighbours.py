@@ -129,7 +129,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = NEAREST, id_col: str = "
             index = Index(np.stack(held["vector"].to_numpy()).astype(np.float64), longest)
             for name, (found, scores) in zip(asked["asker"], index.search(np.stack(asked["wanted"].to_numpy()).astype(np.float64), k + 1), strict=True):
                 out.append(pd.DataFrame({"key": name, "ids": held["ids"].to_numpy()[found], "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({"key": [], "ids": [], "score": []})
+        none = {"key": pd.Series([], dtype=object), "ids": pd.Series([], dtype=object), "score": pd.Series([], dtype=float)}
+        return pd.concat(out) if out else pd.DataFrame(none)
 
     size = F.size("vector").alias("dim")
     shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
