@@ -8,8 +8,12 @@ text is many short walks and an edit is felt up to the next anchor only.
 
 The emitted strings are never stored: step ``j`` adds the random sign of (j, character) to counter
 ``j mod BITS``, and the counters' signs are the fingerprint. Two fingerprints agree in a bit with a
-probability that depends only on the share of equal steps, which ``likeness`` inverts. Bands of
-sampled bits find candidate pairs, which an edit distance of the fingerprints' texts verifies.
+probability that depends only on the share of equal steps, which ``likeness`` inverts.
+
+``near_pairs`` finds near copies: each of ``BANDS`` bands samples ``SAMPLED`` bits, texts with equal
+bits share a bucket, members of a bucket are verified against its smallest one by the edit distance
+of their texts, and those that aren't near it are verified against the smallest of the rest, and so
+on. A pair of which 95 % of the steps are equal shares a bucket with probability 0.995.
 
 Null texts count as empty; an empty text has the fingerprint of all zero bits and is like itself
 only (likeness 1) and unlike others (0). Equal texts have equal fingerprints. Repeated rows are
@@ -27,14 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import mix, stored, table
+from pagemill.llm.common import anti_or_semi, blocks, mix, stored, table
+from pagemill.llm.links import verified
 
 BITS = 256
 #: Steps after which the shared random functions repeat; a multiple of BITS.
 PERIOD = 4096
-#: A walk starts anew where the hash of the last ANCHOR characters is 0 modulo SPACING, at the
-#: latest after LONGEST characters.
-ANCHOR, SPACING, LONGEST = 8, 1024, 8192
+#: A walk reads each character with the ANCHOR - 1 before it, starts anew where their hash is 0
+#: modulo SPACING, and at the latest after LONGEST characters.
+ANCHOR, SPACING, LONGEST = 6, 128, 4096
+#: Bands of near_pairs, the bits that each samples, and the least edit similarity.
+BANDS, SAMPLED, LEAST = 64, 24, 0.8
 #: Characters that a task embeds at a time.
 BLOCK_CHARS = 4_000_000
 
@@ -49,22 +56,28 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
 MOVES, SIGNS = tables()
 
 
-def starts_of(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Places at which walks start, over texts that lie one after another and end at ``ends``."""
+def contexts(points: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each character and up to ``width - 1`` characters of its own text before it."""
     h = mix(points, 3)
-    rolling = h.copy()
-    for k in range(1, ANCHOR):  # depends on the last ANCHOR characters, in order
-        rolling[k:] ^= h[:-k] << np.uint64(k) | h[:-k] >> np.uint64(64 - k)
-    cuts = np.flatnonzero(mix(rolling.view(np.int64), 5) % np.uint64(SPACING) == 0) + 1
     first = np.r_[0, ends[:-1]]
-    # an anchor needs ANCHOR characters of its own text before it
+    place = np.arange(len(points)) - np.repeat(first, np.diff(np.r_[0, ends]))
+    out = h.copy()
+    for k in range(1, width):
+        turned = h[:-k] << np.uint64(k) | h[:-k] >> np.uint64(64 - k)
+        out[k:] ^= np.where(place[k:] >= k, turned, np.uint64(0))
+    return mix(out.view(np.int64), 5)
+
+
+def starts_of(rolling: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places at which walks start, over texts that lie one after another and end at ``ends``."""
+    first = np.r_[0, ends[:-1]]
+    cuts = np.flatnonzero(rolling % np.uint64(SPACING) == 0) + 1
+    cuts = cuts[cuts < len(rolling)]
     text = np.searchsorted(ends, cuts, side="right")
-    cuts = cuts[(text < len(ends))]
-    text = text[: len(cuts)] if len(text) == len(cuts) else np.searchsorted(ends, cuts, side="right")
     cuts = cuts[cuts - first[text] >= ANCHOR]
     starts = np.unique(np.r_[first[ends > first], cuts])
-    sizes = np.diff(np.r_[starts, ends[-1] if len(ends) else 0])
-    if len(sizes) and sizes.max() > LONGEST:
+    sizes = np.diff(np.r_[starts, ends[-1]])
+    if sizes.max() > LONGEST:
         starts = np.concatenate([np.arange(s, s + n, LONGEST) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)])
     return starts
 
@@ -76,13 +89,13 @@ def embed(texts: list[str]) -> np.ndarray:
     ends = np.cumsum(lengths)
     sums = np.zeros((len(texts), BITS), np.int32)
     if len(points):
-        starts = starts_of(points, ends)
-        classes = np.append((mix(points, 1) & np.uint64(255)).astype(np.int16), np.int16(256))
+        rolling = contexts(points, ends, ANCHOR)
+        starts = starts_of(rolling, ends)
+        classes = np.append((rolling >> np.uint64(40) & np.uint64(255)).astype(np.int16), np.int16(256))
         past = len(points)
         stops = np.r_[starts[1:], len(points)]
         owner = np.searchsorted(ends, starts, side="right")
-        order = np.argsort(starts - stops, kind="stable")  # longest first, so those that end leave the tail
-        at, stop, owner = starts[order], stops[order], owner[order]
+        at, stop = starts.copy(), stops
         counters = np.zeros((BITS, len(at)), np.int16)
         lanes, step = np.arange(len(at)), 0
         alive = len(at)
@@ -98,7 +111,9 @@ def embed(texts: list[str]) -> np.ndarray:
                 alive = len(at)
             else:
                 at[~going] = past
-        np.add.at(sums, owner, counters.T)
+        # walks lie in the order of their texts
+        edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        sums[owner[edges]] = np.add.reduceat(counters, edges, axis=1, dtype=np.int32).T
     return np.packbits(sums > 0, axis=1)
 
 
@@ -203,6 +218,78 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return dealt.drop("h").mapInArrow(run, f"id {kind}, {FIELDS}").withColumnRenamed("id", id_col)
 
 
+def edit_distance(a: str, b: str) -> int:
+    """Levenshtein distance, a column of the table in the bits of two integers."""
+    if not a or not b:
+        return len(a) + len(b)
+    places: dict[str, int] = {}
+    for k, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << k
+    every, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, distance = every, 0, len(a)
+    for c in b:
+        same = places.get(c, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right, left = down | ~(diagonal | up), up & diagonal
+        distance += bool(right & last) - bool(left & last)
+        right = right << 1 | 1
+        up, down = (left << 1 | ~(diagonal | right)) & every, right & diagonal & every
+    return distance
+
+
+def edit_similarity(a: bytes, b: bytes) -> float:
+    x, y = bytes(a).decode("utf-8"), bytes(b).decode("utf-8")
+    return 1 - edit_distance(x, y) / max(len(x), len(y), 1)
+
+
+def band_keys(prints: np.ndarray) -> np.ndarray:
+    """BANDS keys of each fingerprint, from SAMPLED random bits each."""
+    bits = np.unpackbits(prints, axis=1)
+    rng = np.random.default_rng(31)
+    keys = np.empty((len(prints), BANDS), np.int64)
+    for k in range(BANDS):
+        chosen = rng.choice(BITS, SAMPLED, replace=False)
+        keys[:, k] = bits[:, chosen].astype(np.int64) @ (1 << np.arange(SAMPLED)) + (k << SAMPLED)
+    return keys
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
+    """Links (a, b, similarity), a < b, between near copies; their components are the classes.
+
+    Null and empty texts and rows with a null id take no part.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text <> ''")
+    kind, name = docs.schema[id_col].dataType.simpleString(), rows.schema["id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for start, end in blocks(np.array([*map(len, texts)]), BLOCK_CHARS):
+                keys = band_keys(embed(texts[start:end]))
+                lists = pa.ListArray.from_arrays(np.arange(0, end - start + 1, dtype=np.int32) * BANDS, keys.ravel())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start).cast(to_arrow_type(name)), lists], ["id", "bands"])
+
+    bands = stored(rows.mapInArrow(run, f"id {kind}, bands array<long>"), "edit-bands")
+    rest = bands.select("id", F.explode("bands").alias("bucket")).distinct()
+    links = None
+    while True:
+        pivots = rest.groupBy(F.col("bucket").alias("of")).agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("of", "a")
+        held = stored(rest.join(pivots, F.col("bucket") == F.col("of")).where("id <> a").select("bucket", "a", "id"), "edit-members")
+        if held.isEmpty():
+            break
+        pairs = held.select("a", F.col("id").alias("b")).distinct()
+        if links is not None:
+            pairs = pairs.join(links.select("a", "b"), ["a", "b"], "left_anti")
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        texts = anti_or_semi(rows, stored(ids, "edit-ids"), ["id"], "left_semi").select("id", F.encode("text", "UTF-8").alias("content"))
+        found = verified(pairs, texts, edit_similarity, least)
+        links = stored(found if links is None else links.unionByName(found), "edit-links")
+        rest = stored(held.join(links.select("a", F.col("b").alias("id")), ["a", "id"], "left_anti").select("bucket", "id"), "edit-rest")
+    return links if links is not None else docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}, similarity double")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: fingerprints of all documents and of their edited texts."""
     return fingerprints(table(spark, sf_dir, "documents"))
