@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from pagemill.llm.common import table
 
@@ -35,7 +36,7 @@ KEPT_WORDS = 500_000
 
 # The vocabulary file's own word pattern and white space (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0  -     　"
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
 
 
 def byte_letters() -> list[str]:
@@ -45,6 +46,26 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + next(odd)) for b in range(256)]
 
 
+def newer_letters() -> list[str]:
+    """Letters and digits of the newest Unicode that the interpreter's tables don't have."""
+    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    return [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+
+
+def word_pattern(newer: list[str]) -> str:
+    """Endings, runs of letters, single digits and runs of anything else but white space.
+
+    What is a letter or digit depends on the version of Unicode; of those that are newer than the
+    interpreter's tables, the ones that the tokenizers library doesn't know count as anything else.
+    """
+    theirs = pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]"), "removed", invert=True).pre_tokenize_str("".join(newer))
+    known = {c for piece, _ in theirs for c in piece}
+    newer = [ord(c) for c in newer if c not in known]
+    runs = [[g[0][1], g[-1][1]] for _, k in itertools.groupby(enumerate(newer), lambda x: x[1] - x[0]) if (g := list(k))]
+    odd = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) or "\\uFFFF"
+    return rf"(?V1){ENDINGS}|[\p{{L}}--[{odd}]]+|[\p{{N}}--[{odd}]]|[[^{SPACE}\p{{L}}\p{{N}}]||[{odd}]]+"
+
+
 class WordBpe:
     """A word-level BPE vocabulary with word ends, from the text of a tokenizer's JSON file."""
 
@@ -67,12 +88,16 @@ class WordBpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))))
-        self.words = regex.compile(WORDS)
+        newer = newer_letters()
+        self.words = regex.compile(word_pattern(newer))
+        theirs = normalizers.Lowercase()
+        self.lower = {ord(c): low for c in newer if (low := theirs.normalize_str(c)) != c}
+        self.odd_case = re.compile(f"[{''.join(map(chr, self.lower)) or chr(0x10FFFF)}]")
         # The same pattern for texts below U+0250 only, where letters and digits can be listed.
         low = [chr(c) for c in range(0x250)]
         letters = "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == "L")
         digits = "".join(c for c in low if unicodedata.category(c)[0] == "N")
-        self.low_words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{SPACE}{letters}{digits}]+")
+        self.low_words = re.compile(rf"{ENDINGS}|[{letters}]+|[{digits}]|[^{SPACE}{letters}{digits}]+")
         self.high = re.compile("[^\0-\u024f]")
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -86,6 +111,8 @@ class WordBpe:
         if text.isascii():
             return text.lower()
         text = unicodedata.normalize("NFC", text)
+        if self.odd_case.search(text):
+            text = text.translate(self.lower)
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
     def cut(self, text: str) -> list[str | tuple[str]]:

@@ -177,7 +177,7 @@ class Network:
             mine = mine[np.argsort(lengths[mine], kind="stable")]
             for a in range(0, len(mine), LANES):
                 lanes = mine[a : a + LANES]
-                steps = int(lengths[lanes].max())
+                steps = WINDOW  # shorter ones are padded as in training, whatever they are read with
                 codes = padded[starts[lanes][None, :] + np.arange(steps)[:, None]].astype(np.int64)
                 real = np.arange(steps)[:, None] < lengths[lanes][None, :]
                 if not full:

@@ -14,6 +14,12 @@ def text(seed: int, words: int, lang: str = "en") -> str:
     return " ".join(rng.choice(WORDS[lang]) + rng.choice(["", "s", "ing", "er"]) for _ in range(words))
 
 
+def varied(seed: int, words: int) -> str:
+    """Words that hardly repeat."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8))) for _ in range(words))
+
+
 def edited(base: str, seed: int, edits: int) -> str:
     words, rng = base.split(" "), random.Random(seed)
     for k in rng.sample(range(len(words)), edits):

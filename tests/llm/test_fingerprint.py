@@ -45,7 +45,7 @@ def test_a_fingerprint_depends_on_its_text_alone():
 
 
 def test_few_edits_change_few_bits():
-    base = odd.text(1, 600)
+    base = odd.varied(4, 600)
     near = [fingerprint.likeness(fingerprint.embed([base]), fingerprint.embed([odd.edited(base, 1, n)]))[0] for n in (1, 10, 100, 500)]
     far = fingerprint.likeness(fingerprint.embed([base]), fingerprint.embed([odd.text(9, 600)]))[0]
     assert near[0] > 0.9 and near[1] > 0.75 and near[0] >= near[1] > near[2] > near[3] and near[2] > far
@@ -74,7 +74,7 @@ def test_edit_distance(a, b):
 
 
 def test_near_pairs(spark):
-    base = odd.text(1, 300)
+    base = odd.varied(1, 600)
     rows = [(1, base, "en", "s"), (2, odd.edited(base, 1, 1), "en", "s"), (3, base, "en", "s"), (4, odd.text(5, 300), "en", "s"), (5, None, "en", "s"), (6, "", "en", "s"), (None, base, "en", "s")]
     got = {(r["a"], r["b"]) for r in fingerprint.near_pairs(odd.documents(spark, rows)).collect()}
     assert {(1, 2), (1, 3)} <= got <= {(1, 2), (1, 3), (2, 3)}
