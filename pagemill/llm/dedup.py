@@ -9,7 +9,7 @@ shingles and their order, and follows edit similarity and not only set overlap.
 1. Exact copies collapse to their smallest id.
 2. In each bucket every member is verified against the smallest one.
 3. Where a bucket still holds several components, all pairs across components are verified, but
-   for those that can't be similar: a shingle that no other open document has can't be matched.
+   for those that can't be similar, by a bound on the shingles that both can have (see ``across``).
 
 Verification aligns the labelled shingles of both texts within a band: M matched in order of n and
 m give the similarity M / (n + m - M). From ``SIMILARITY`` on two texts are linked; a class is a
@@ -38,6 +38,8 @@ from pagemill.llm.links import components, stars, verified
 
 WORDS, SIMILARITY = 5, 0.8
 TABLES, PICKED = 24, 4
+#: A shingle that at most so many documents have is rare.
+RARE = 8
 #: Bytes of text that a task hashes at a time (a longer text is hashed alone).
 BLOCK_BYTES = 1_000_000
 
@@ -242,21 +244,37 @@ def still_open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(split, F.col("bucket") == F.col("of"), "left_semi")
 
 
-def across(opened: DataFrame, unmatched: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket that are in different components and can reach SIMILARITY.
+def across(opened: DataFrame, shingle_rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that can reach SIMILARITY.
 
-    ``unmatched`` has (id, u): the shingles of a document that no other open document has. The
-    largest component of a bucket isn't paired with itself, so what is joined is each other
+    A shingle that at most RARE of the open documents have is rare. Two documents match in at most
+    as many shingles as the smaller number of frequent ones that either has, and the rare ones
+    that both have. Where the frequent ones alone could be enough, documents of one bucket are
+    paired; where rare ones are needed, the documents that share them are, at most RARE for each.
+    The largest component of a bucket isn't paired with itself, so what is joined is each other
     member with all members.
     """
-    can = opened.join(unmatched, "id", "left").select("bucket", "id", "n", "class", (F.col("n") - F.coalesce("u", F.lit(0))).alias("most"))
-    can = can.where(F.col("most") >= SIMILARITY * F.col("n"))
+    counts = shingle_rows.groupBy("shingle").agg(F.min("id").alias("one"), F.count("*").alias("c")).where(F.col("c") <= RARE)
+    counts = stored(counts, "order-rare-counts")
+    shared = shingle_rows.join(counts.where("c > 1").select("shingle"), "shingle")
+    shared = stored(shared.select("shingle", "id"), "order-rare")
+    rare = counts.where("c = 1").select(F.col("one").alias("id")).unionByName(shared.select("id")).groupBy("id").agg(F.count("*").alias("r"))
+    docs = opened.select("id", "n", "class").distinct().join(rare, "id", "left")
+    docs = stored(docs.select("id", "n", "class", (F.col("n") - F.coalesce("r", F.lit(0))).alias("most")), "order-bounds")
+    least = SIMILARITY / (1 + SIMILARITY)
+    lacking = least * (F.col("n") + F.col("_n")) - F.least("most", "_most") - 1e-9  # matches that rare shingles must give
+    renamed = [F.col(c).alias(f"_{c}") for c in ("id", "n", "class", "most")]
+
+    can = opened.select("bucket", "id").join(docs.where(F.col("most") >= SIMILARITY * F.col("n")), "id")
     sizes = can.groupBy("bucket", "class").agg(F.count("*").alias("k"))
     main = sizes.groupBy(F.col("bucket").alias("of")).agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("of", "main")
-    strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *[F.col(c).alias(f"_{c}") for c in ("id", "n", "class", "most")])
-    least = SIMILARITY / (1 + SIMILARITY)
-    pairs = strays.join(can, "bucket").where((F.col("class") != F.col("_class")) & (F.least("most", "_most") >= least * (F.col("n") + F.col("_n")) - 1e-9))
-    return pairs.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
+    strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *renamed)
+    frequent = strays.join(can, "bucket").where((F.col("class") != F.col("_class")) & (lacking <= 0)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+
+    other = shared.select("shingle", F.col("id").alias("_id"))
+    both = shared.join(other, "shingle").where("id < _id").groupBy("id", "_id").agg(F.count("*").alias("s"))
+    both = both.join(docs, "id").join(docs.select(*renamed), "_id").where((F.col("class") != F.col("_class")) & (lacking <= F.col("s")))
+    return frequent.unionByName(both.select(F.col("id").alias("a"), F.col("_id").alias("b"))).distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -275,8 +293,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comps = stored(components(links), "order-classes")
     opened = stored(still_open(members, comps), "order-open")
     ids = opened.select("id").distinct()
-    unmatched = labelled(named(alone, ids)).groupBy("shingle").agg(F.min("id").alias("id"), F.count("*").alias("c")).where("c = 1").groupBy("id").agg(F.count("*").alias("u"))
-    more = stored(across(opened, unmatched).join(pairs, ["a", "b"], "left_anti"), "order-across")
+    more = stored(across(opened, labelled(named(alone, ids))).join(pairs, ["a", "b"], "left_anti"), "order-across")
     more = stored(verified(more, content_of(alone, more), aligned, SIMILARITY).select("a", "b"), "order-links")
     if not more.isEmpty():
         comps = stored(components(links.unionByName(more)), "order-classes")
