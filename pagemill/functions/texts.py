@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: A recognised line: its text, its confidence from 0 to 1 and its corners.
 LINES = "array<struct<text:string,confidence:double,bbox:array<array<double>>>>"
@@ -41,7 +42,7 @@ def reading_order(lines: Column) -> Column:
     return F.transform(keyed, lambda k: k["line"])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two texts; the order of the texts matters; null counts as empty."""
     text = lambda x: x if isinstance(x, str) else ""
