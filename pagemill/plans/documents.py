@@ -133,12 +133,13 @@ def era_rollup(spark, sf):
     return found.withColumns({c: F.round(c, 6) for c in ("first_confidence", "second_confidence", "similarity")})
 
 
-@registered("""SELECT d.doc_id, l.quality AS first_quality, b.text AS second_text, CASE WHEN l.doc_id IS NOT NULL AND b.item_id IS NOT NULL THEN 'ok' ELSE 'MISSING' END AS state
+@registered("""SELECT d.doc_id, coalesce(l.quality, -1)::BIGINT AS first_quality, b.text AS second_text, CASE WHEN l.doc_id IS NOT NULL AND b.item_id IS NOT NULL THEN 'ok' ELSE 'MISSING' END AS state
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN benchmark b ON d.doc_id = b.item_id""")
 def pair_lookup_left(spark, sf):
     first = table(spark, sf, "labels").select("doc_id", "quality")
     second = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return accuracy.side_by_side(table(spark, sf, "documents").select("doc_id"), first, second, "doc_id")
+    both = accuracy.side_by_side(table(spark, sf, "documents").select("doc_id"), first, second, "doc_id")
+    return both.withColumn("first_quality", F.coalesce("first_quality", F.lit(-1)).cast("long"))
 
 
 @registered()
