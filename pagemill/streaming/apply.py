@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,8 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder that all executors reach: below ``spark.checkpoint.dir``, else below the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder that all executors reach, below ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagemill-")
     return f"{base.rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 
