@@ -1,11 +1,13 @@
 """License scan by conditional compression (operator 2).
 
-A text is cut into lines and sentences; runs of them that a licensing word marks are candidate
-blocks. Each block is compressed alone and with every template as a zstandard raw-content
-dictionary; templates are ranked by how many bytes they save. The best one is confirmed by its
-exact wording: the block's words are aligned with the template's, and the words that are missing or
-added are listed. If they are at most ``ALLOWED`` of the template's words, that is a finding, its
-words are taken out and the rest of the block is searched again; else the next best is tried.
+Licensing words are anchors: a candidate block reaches as many words to both sides of one as the
+longest finding has, and blocks that overlap are one. Each block is compressed alone and with the
+templates as zstandard raw-content dictionaries, but for templates of which the block lacks more
+than ``ALLOWED`` of the words; templates are ranked by how many bytes they save. The best one is
+confirmed by its exact wording: the block's words are aligned with the template's, and the words
+that are missing or added are listed. If they are at most ``ALLOWED`` of the template's words, that
+is a finding, or of the templates that fit there the one that agrees in more words; its words are
+taken out and the rest of the block is searched again. Else the next best is tried.
 
 Only texts that hold a licensing word reach Python, the search is a scan without a shuffle, and a
 worker remembers the findings of blocks it has met, so a notice that a third of all documents carry
@@ -18,8 +20,11 @@ table gives an empty result; further columns aren't read.
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
+from difflib import Match, SequenceMatcher
 
 import pyarrow as pa
 import regex
@@ -47,38 +52,85 @@ TEMPLATES = {
     "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
-CUE = r"(?i)licen[cs]e|copyright|warrant|permission|redistribut|public domain|spdx|©"
-#: Unmarked lines or sentences that a block may hold between marked ones.
-GAP = 2
+CUE = r"(?i)licen[cs]e|copyright|warrant|permission|redistribut|public[^\p{L}\p{N}]+domain|spdx|©"
 #: Share of a template's words that may be missing or added.
 ALLOWED = 0.2
-#: Words of a block read together, and by how many two such windows overlap.
+#: Words of a block read together, and by how many two such windows overlap, at least.
 WINDOW, OVERLAP = 1200, 300
 #: Blocks whose findings a worker remembers.
 REMEMBERED = 50_000
 LEVEL = 6
 
 WORD = regex.compile(r"[\p{L}\p{N}]+(?:[.'’-][\p{L}\p{N}]+)*")
-SEGMENT = regex.compile(r"[^\n]+?(?:[.!?](?=\s)|$|(?=\n))", regex.M)
 MARK = regex.compile(CUE)
 
 
-def blocks_of(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the candidate blocks of a text."""
+def reach_of(templates: dict[str, str]) -> int:
+    """Words that a finding has at most."""
+    return max((n + int(ALLOWED * n) for n in (len(WORD.findall(t)) for t in templates.values())), default=0)
+
+
+REACH = reach_of(TEMPLATES)
+
+
+def blocks_of(text: str, reach: int = REACH) -> Iterator[tuple[int, int]]:
+    """Spans of the candidate blocks of a text: ``reach`` words to both sides of each cue."""
+    cues = [m.start() for m in MARK.finditer(text)]
+    if not cues:
+        return
+    places = [m.span() for m in WORD.finditer(text)]
+    starts = [a for a, _ in places]
     first = last = None
-    since = 0
-    for m in SEGMENT.finditer(text):
-        if MARK.search(text, m.start(), m.end()):
-            if first is None:
-                first = m.start()
-            last, since = m.end(), 0
-        elif first is not None and m[0].strip():
-            since += 1
-            if since > GAP:
-                yield first, last
-                first = None
-    if first is not None:
-        yield first, last
+    for cue in cues:
+        at = max(0, bisect_right(starts, cue) - 1)
+        low, high = max(0, at - reach), min(len(places), at + reach + 1)
+        if first is not None and low > last:
+            yield places[first][0], places[last - 1][1]
+            first = None
+        first, last = low if first is None else first, high
+    if last:
+        yield places[first][0], places[last - 1][1]
+
+
+class Template:
+    """A template's words, how many may differ, and how long a run of them a finding has at least."""
+
+    def __init__(self, name: str, text: str):
+        self.name = name
+        self.words = [w.lower() for w in WORD.findall(text)]
+        self.counts = [*Counter(self.words).items()]
+        self.allowed = int(ALLOWED * len(self.words) + 1e-9)
+        self.run = -(-(len(self.words) - self.allowed) // (self.allowed + 1))
+        given = zstandard.ZstdCompressionDict(" ".join(self.words).encode("utf-8"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        given.precompute_compress(level=LEVEL)
+        self.compressor = zstandard.ZstdCompressor(dict_data=given)
+
+    def possible(self, counts: Counter) -> bool:
+        """Whether words with these counts lack few enough of the template's."""
+        lacking = 0
+        for word, n in self.counts:
+            if (have := counts.get(word, 0)) < n:
+                lacking += n - have
+                if lacking > self.allowed:
+                    return False
+        return True
+
+    def place(self, words: list[str]) -> tuple[int, int, list[str], list[str]] | None:
+        """A place in ``words`` that fits: around the longest equal run, else before or after it."""
+        parts = [(0, len(words))]
+        while parts:
+            a, b = parts.pop()
+            part = words[a:b]
+            if not self.possible(Counter(part)):
+                continue
+            core = SequenceMatcher(None, self.words, part, autojunk=False).find_longest_match()
+            if core.size < max(1, self.run):
+                continue
+            i, j, missing, added = wording(self.words, part, core)
+            if len(missing) + len(added) <= self.allowed:
+                return a + i, a + j, missing, added
+            parts += [(a + core.b + core.size, b), (a, a + core.b)]
+        return None
 
 
 class Scanner:
@@ -86,59 +138,73 @@ class Scanner:
 
     def __init__(self, templates: dict[str, str]):
         self.alone = zstandard.ZstdCompressor(level=LEVEL)
-        self.known = []
-        for name, text in templates.items():
-            plain = " ".join(w.lower() for w in WORD.findall(text))
-            given = zstandard.ZstdCompressionDict(plain.encode("utf-8"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            given.precompute_compress(level=LEVEL)
-            self.known.append((name, plain.split(" "), zstandard.ZstdCompressor(dict_data=given)))
-        self.met: dict[str, list] = {}
+        self.known = [t for t in (Template(*item) for item in templates.items()) if t.words]
+        self.reach = reach_of(templates)
+        self.overlap = max(OVERLAP, self.reach)
+        self.size = max(WINDOW, 4 * self.overlap)
+        self.met: dict[bytes, list] = {}
 
     def saved(self, words: list[str]) -> list[tuple[int, int]]:
-        """(bytes saved, template), the best first."""
+        """(bytes saved, template) of those that can fit, the best first."""
+        counts = Counter(words)
+        able = [k for k, t in enumerate(self.known) if t.possible(counts)]
+        if not able:
+            return []
         data = " ".join(words).encode("utf-8")
         size = len(self.alone.compress(data))
-        found = [(size - len(c.compress(data)), k) for k, (_, _, c) in enumerate(self.known)]
-        return sorted((x for x in found if x[0] > 0), key=lambda x: (-x[0], x[1]))
+        return sorted(((size - len(self.known[k].compressor.compress(data)), k) for k in able), key=lambda x: (-x[0], x[1]))
 
     def window(self, words: list[str]) -> list[tuple]:
         """Findings (name, saved, first word, last word, missing, added) in a list of words."""
         out, parts = [], [(0, len(words))]
         while parts:
             a, b = parts.pop()
-            for saved, k in self.saved(words[a:b]):
-                name, template, _ = self.known[k]
-                fit = wording(template, words[a:b])
-                if fit and len(fit[2]) + len(fit[3]) <= ALLOWED * len(template):
+            ranked = self.saved(words[a:b])
+            for saved, k in ranked:
+                if fit := self.known[k].place(words[a:b]):
+                    saved, k, fit = self.best(words[a:b], ranked, saved, k, fit)
                     i, j = a + fit[0], a + fit[1]
-                    out.append((name, saved, i, j, fit[2], fit[3]))
+                    out.append((self.known[k].name, saved, i, j, fit[2], fit[3]))
                     parts += [p for p in ((a, i), (j, b)) if p[1] > p[0]]
                     break
         return sorted(out, key=lambda f: f[2:4])
 
+    def best(self, words: list[str], ranked: list[tuple[int, int]], saved: int, k: int, fit: tuple) -> tuple:
+        """Of the templates that fit where ``fit`` is, the one that agrees in more words."""
+        low, high = max(0, fit[0] - self.reach), fit[1] + self.reach
+        near = words[low:high]
+        agrees = lambda k, f: len(self.known[k].words) - 2 * len(f[2]) - len(f[3])
+        for other_saved, other in ranked:
+            if other != k and (there := self.known[other].place(near)):
+                there = (low + there[0], low + there[1], *there[2:])
+                if there[0] < fit[1] and fit[0] < there[1] and agrees(other, there) > agrees(k, fit):
+                    saved, k, fit = other_saved, other, there
+        return saved, k, fit
+
     def block(self, text: str) -> list[tuple]:
         """Findings (name, saved, start, end, missing, added) of a block, in characters."""
-        if (known := self.met.get(text)) is not None:
+        key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        if (known := self.met.get(key)) is not None:
             return known
         places = [m.span() for m in WORD.finditer(text)]
         words = [text[a:b].lower() for a, b in places]
-        out, over = [], -1
-        for at in range(0, max(1, len(words) - OVERLAP), WINDOW - OVERLAP):
-            for name, saved, i, j, missing, added in self.window(words[at : at + WINDOW]):
-                if at + i > over:  # else it was found in the window before
-                    out.append((name, saved, places[at + i][0], places[at + j - 1][1], missing, added))
-                    over = at + j - 1
+        out, at = [], 0
+        while at < len(words):
+            last, after = at + self.size >= len(words), at + self.size - self.overlap
+            for name, saved, i, j, missing, added in self.window(words[at : at + self.size]):
+                if not last and at + i >= after:  # the next window has it whole
+                    break
+                out.append((name, saved, places[at + i][0], places[at + j - 1][1], missing, added))
+                after = max(after, at + j)
+            at = len(words) if last else after
         if len(self.met) >= REMEMBERED:
             self.met.clear()
-        self.met[text] = out
+        self.met[key] = out
         return out
 
 
-def wording(template: list[str], words: list[str]) -> tuple[int, int, list[str], list[str]] | None:
-    """First and last word (exclusive) of the template's place in ``words``, words missing and added."""
-    core = SequenceMatcher(None, template, words, autojunk=False).find_longest_match()
-    if not core.size:
-        return None
+def wording(template: list[str], words: list[str], core: Match) -> tuple[int, int, list[str], list[str]]:
+    """First and last word (exclusive) of the template's place around the equal run ``core``, words missing and added."""
     slack = len(template) // 5 + 3
     low = max(0, core.b - core.a - slack)
     near = words[low : core.b - core.a + len(template) + slack]
@@ -178,7 +244,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
         for batch in batches:
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for a, b in blocks_of(text):
+                for a, b in blocks_of(text, scanner.reach):
                     out += [(key, name, not missing and not added, saved, a + i, a + j, missing, added) for name, saved, i, j, missing, added in scanner.block(text[a:b])]
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 from pagemill.llm import licenses
 from pagemill.llm.common import table
@@ -30,6 +31,21 @@ def test_wording_differences_are_listed():
     assert found("A permission slip is needed for the warranty of this copyright.") == []
 
 
+def test_every_template_is_found_whole_however_it_is_wrapped():
+    for name, text in licenses.TEMPLATES.items():
+        shapes = [text, *("\n".join(textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)) for width in (20, 40, 50, 60, 72, 80))]
+        for shape in [*shapes, *("\n".join(f"# {line}" for line in x.split("\n")) for x in shapes)]:
+            assert found(shape) == [(name, [], [])], (name, shape)
+            assert found("Rain fell on the hills all night.\n" * 60 + shape + "\nThe river rose by noon." * 60) == [(name, [], [])]
+
+
+def test_a_notice_across_windows_is_found_whole():
+    mit, versions = licenses.TEMPLATES["MIT"], [licenses.TEMPLATES[f"GPL-{v}.0-notice"] for v in (2, 3)]
+    for n in range(1020, 1200, 20):
+        assert ("MIT", [], []) in found("copyright " * n + mit + " copyright" * 400)
+    assert [f[0] for f in found(("\n" + "Rain fell on the hills all night. " * 4).join(versions))] == ["GPL-2.0-notice", "GPL-3.0-notice"]
+
+
 def test_two_licenses_in_one_block_and_versions():
     text = "Released under the MIT License.\nThis work is licensed under the GNU General Public License, version 2."
     assert [f[0] for f in found(text)] == ["MIT-notice", "GPL-2.0-notice"]
