@@ -18,14 +18,21 @@ connected component, named by its smallest id.
 Null texts count as empty, and texts without a word are copies of each other only if they are
 equal. A text of fewer than five words is one shingle. Rows with a null id take no part and have a
 null class. Repeated rows are in the same class; an empty table gives an empty result; only the
-two named columns are read. Missing a pair at exactly the least similarity has a probability of
-about (1 - 0.8 ** PICKED) ** TABLES = 3e-6.
+two named columns are read.
+
+Picks are drawn without repeats, so of u shingles that two texts have, m of them both, all picks of
+a table are shared with probability C(m, PICKED) / C(u, PICKED): for long texts at exactly the least
+similarity 0.8 ** PICKED, and a pair is missed with (1 - 0.8 ** PICKED) ** TABLES = 3e-6; for 4
+shingles of 5 only 1/5. So texts of at most ``SHORT`` shingles have TABLES further buckets of
+``FEW`` picks each (4 of 5: 3/5, missed with 3e-10). Where only one text is that short, or none,
+missing a pair at exactly the least similarity has a probability below 1e-5.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +45,8 @@ from pagemill.llm.links import components, stars, verified
 
 WORDS, SIMILARITY = 5, 0.8
 TABLES, PICKED = 24, 4
+#: Texts of at most so many shingles are also looked up by fewer picks.
+SHORT, FEW = 24, 2
 #: A shingle that at most so many documents have is rare.
 RARE = 8
 #: Bytes of text that a task hashes at a time (a longer text is hashed alone).
@@ -114,14 +123,14 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple
     return found, bounds
 
 
-def sketches(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def sketches(found: np.ndarray, bounds: np.ndarray, picked: int = PICKED, salt: int = 59) -> np.ndarray:
     """A row of TABLES bucket keys for each text that has shingles; zeros for the others."""
     counts = np.diff(bounds)
     out = np.zeros((len(counts), TABLES), np.uint64)
     text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    wanted = np.minimum(counts, PICKED)
-    # about 4 * PICKED shingles of a text lie below this bound
-    share = np.minimum(1.0, 4.0 * PICKED / np.maximum(counts, 1))
+    wanted = np.minimum(counts, picked)
+    # about 4 * picked shingles of a text lie below this bound
+    share = np.minimum(1.0, 4.0 * picked / np.maximum(counts, 1))
     bound = np.where(share >= 1, np.uint64(0xFFFFFFFFFFFFFFFF), (share * 2.0**63).astype(np.uint64) * np.uint64(2))[text]
     for t in range(TABLES):
         value = found * MULTIPLIERS[t]
@@ -136,15 +145,26 @@ def sketches(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         own = text[at]
         first = np.r_[True, own[1:] != own[:-1]] if len(own) else np.zeros(0, bool)
         n = np.arange(len(at))
-        at = np.sort(at[n - np.maximum.accumulate(np.where(first, n, 0)) < PICKED])  # text order again
+        at = np.sort(at[n - np.maximum.accumulate(np.where(first, n, 0)) < picked])  # text order again
         own = text[at]
         starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, int)
         nth = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
         if len(at):
-            out[own[starts], t] = mix(np.add.reduceat(found[at] * PLACES[nth], starts), 59 + t)
+            out[own[starts], t] = mix(np.add.reduceat(found[at] * PLACES[nth], starts), salt + t)
     return out
 
 
+def buckets(found: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket keys of all texts, one after another, and the offsets of texts in them."""
+    counts = np.diff(bounds)
+    short = counts <= SHORT
+    more = sketches(found[np.repeat(short, counts)], np.r_[0, np.cumsum(counts[short])], FEW, 59 + TABLES)
+    keys = np.zeros((len(counts), 2 * TABLES), np.uint64)
+    keys[:, :TABLES], keys[short, TABLES:] = sketches(found, bounds), more
+    used = np.repeat(np.c_[np.ones(len(counts), bool), short], TABLES, axis=1)
+    return keys[used], np.r_[0, np.cumsum(np.where(short, 2 * TABLES, TABLES))]
+
+
 def aligned(first: bytes, second: bytes, least: float = SIMILARITY) -> float:
     """Similarity of two sequences of labelled shingles by alignment within a band.
 
@@ -156,10 +176,12 @@ def aligned(first: bytes, second: bytes, least: float = SIMILARITY) -> float:
     total = len(a) + len(b)
     if not len(a) or not len(b):
         return float(total == 0)
-    needed = total * least / (1 + least)
+    share = Fraction(least).limit_denominator(1_000_000)
+    p, q = share.numerator, share.denominator
+    needed = -(-total * p // (p + q))  # the fewest matches that are enough, in integers
     if min(len(a), len(b)) < needed:
         return 0.0
-    band = int(np.ceil(total - 2 * needed))
+    band = total - 2 * needed
     order = np.argsort(b)
     at = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
     j = order[at]
@@ -167,7 +189,7 @@ def aligned(first: bytes, second: bytes, least: float = SIMILARITY) -> float:
     j = j[i]
     near = np.abs(i - j) <= band
     j = j[near]
-    if len(j) < needed - 1e-9:
+    if len(j) < needed:
         return 0.0
     if (np.diff(j) < 0).any():  # longest increasing chain of matches
         tails: list[int] = []
@@ -192,15 +214,15 @@ def in_blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
 
 
 def sketched(rows: DataFrame) -> DataFrame:
-    """Rows (id, text) as (id, n, buckets): the number of shingles and TABLES keys."""
+    """Rows (id, text) as (id, n, buckets): the number of shingles and the bucket keys."""
     kind = to_arrow_type(rows.schema["id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in in_blocks(batches, 1):
             found, bounds = shingles(data, offsets)
-            keys = sketches(found, bounds).view(np.int64)
+            keys, at = buckets(found, bounds)
             n = np.diff(bounds)
-            lists = pa.ListArray.from_arrays(np.arange(0, len(n) + 1, dtype=np.int32) * TABLES, keys.ravel())
+            lists = pa.ListArray.from_arrays(at.astype(np.int32), keys.view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(kind), pa.array(n, pa.int64()), lists], ["id", "n", "buckets"])
 
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, buckets array<long>")
@@ -265,7 +287,7 @@ def across(opened: DataFrame, shingle_rows: DataFrame) -> DataFrame:
     lacking = least * (F.col("n") + F.col("_n")) - F.least("most", "_most") - 1e-9  # matches that rare shingles must give
     renamed = [F.col(c).alias(f"_{c}") for c in ("id", "n", "class", "most")]
 
-    can = opened.select("bucket", "id").join(docs.where(F.col("most") >= SIMILARITY * F.col("n")), "id")
+    can = opened.select("bucket", "id").join(docs.where(F.col("most") >= SIMILARITY * F.col("n") - 1e-9), "id")
     sizes = can.groupBy("bucket", "class").agg(F.count("*").alias("k"))
     main = sizes.groupBy(F.col("bucket").alias("of")).agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("of", "main")
     strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *renamed)

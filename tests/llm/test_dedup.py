@@ -115,3 +115,20 @@ def test_alignment_is_the_longest_common_subsequence_where_it_matters():
         got = dedup.aligned(np.array(a, np.uint64).tobytes(), np.array(b, np.uint64).tobytes())
         assert (got >= 0.8) == (exact >= 0.8)
         assert got < 0.8 or abs(got - exact) < 1e-12
+
+
+def test_contained_texts_at_exactly_the_least_similarity():
+    for k in range(1, 700):  # 4k of 5k: totals up to 6,300
+        whole = np.arange(5 * k, dtype=np.uint64)
+        assert dedup.aligned(whole[: 4 * k].tobytes(), whole.tobytes()) == 0.8 == dedup.aligned(whole.tobytes(), whole[k:].tobytes()), k
+        if k > 1:
+            assert dedup.aligned(whole[: 4 * k - 1].tobytes(), whole.tobytes()) < 0.8
+
+
+def test_short_texts_are_found(spark):
+    rng, rows = random.Random(8), []
+    for k in range(2000):
+        words = ["".join(rng.choices(string.ascii_lowercase, k=8)) for _ in range(9)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:8] if k % 2 else words[1:]))]
+    got = dict(dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [i for i, c in got.items() if c != i - i % 2] == [] and len(got) == 4000
