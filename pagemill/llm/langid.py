@@ -5,6 +5,7 @@ direction, and gives every byte position a distribution over the learned languag
 probabilities are the mean over all its positions, whatever its length. It is trained in numpy by
 backpropagation through time on a bounded sample of labelled texts: about ``PER_LANGUAGE`` texts
 of each language, chosen by hash of the id, from each of which windows are drawn at hashed places.
+Every language that a training row names is learned, however many there are.
 
 Texts that are null or have no letter are ``und`` with score 0. With no labelled text every text
 is ``und``. Repeated rows get the same prediction; an empty table gives an empty result; the
@@ -28,11 +29,10 @@ WINDOW = 96
 HIDDEN = 12
 #: Texts to learn from in each language (expected; they're chosen by hash), and windows of each.
 PER_LANGUAGE, WINDOWS_OF_TEXT = 400, 4
-#: Languages learned, the most frequent ones: bounds the network's output.
-MOST_LANGUAGES = 64
-STEPS, BATCH, RATE = 260, 128, 0.02
-#: Windows read together, and a task's bytes at a time.
-LANES, BLOCK_BYTES = 2048, 8_000_000
+#: A batch has BATCH windows, and at least LEAST_OF_EACH of each language.
+STEPS, BATCH, LEAST_OF_EACH, RATE = 260, 128, 2, 0.02
+#: Windows read together (fewer for more than USUAL languages), and a task's bytes at a time.
+LANES, USUAL, BLOCK_BYTES = 2048, 64, 8_000_000
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -151,8 +151,8 @@ class Network:
         first = [np.zeros_like(p) for p in self.parameters()]
         second = [np.zeros_like(p) for p in self.parameters()]
         for step in range(1, steps + 1):
-            picked = np.concatenate([rng.choice(e, max(1, batch // len(each))) for e in each])
-            _, grads = self.gradients(np.ascontiguousarray(codes[picked].T), labels[picked])
+            picked = np.concatenate([rng.choice(e, max(LEAST_OF_EACH, batch // len(each))) for e in each])
+            _, grads = self.gradients(np.ascontiguousarray(codes[picked].T, np.int64), labels[picked])
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
             scale = min(1.0, 1.0 / max(norm, 1e-9))
             now = rate * (1 - step / (steps + 1))
@@ -172,11 +172,12 @@ class Network:
         lengths = np.minimum(WINDOW, offsets[1:][text_of] - starts)
         total = np.zeros((len(sizes), len(self.languages)))
         padded = np.r_[data, np.zeros(WINDOW, np.uint8)]
+        together = max(1, LANES * USUAL // max(USUAL, len(self.languages)))
         for full in (True, False):  # windows of full length go together, so few lanes are padded
             mine = np.flatnonzero((lengths == WINDOW) == full)
             mine = mine[np.argsort(lengths[mine], kind="stable")]
-            for a in range(0, len(mine), LANES):
-                lanes = mine[a : a + LANES]
+            for a in range(0, len(mine), together):
+                lanes = mine[a : a + together]
                 steps = WINDOW  # shorter ones are padded as in training, whatever they are read with
                 codes = padded[starts[lanes][None, :] + np.arange(steps)[:, None]].astype(np.int64)
                 real = np.arange(steps)[:, None] < lengths[lanes][None, :]
@@ -207,14 +208,14 @@ def windows_of(texts: list[bytes], keys: list[int]) -> tuple[np.ndarray, np.ndar
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
     """Learn from rows whose language isn't null."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Network([])
     # hashes below a language's share of the range: about PER_LANGUAGE of its texts
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, PER_LANGUAGE / r["count"])))])
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], min(1.0, PER_LANGUAGE / r["count"])) for r in counts], "lang string, share double")
     key = F.xxhash64("id", "lang")
-    chosen = rows.withColumn("key", key).where((F.pmod("key", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000))
+    chosen = rows.withColumn("key", key).join(F.broadcast(shares), "lang").where(F.pmod("key", F.lit(1_000_000)) < F.col("share") * 1_000_000).select("id", "text", "lang", "key")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,7 +225,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     got = chosen.mapInPandas(cut, "lang string, key long, codes binary").toPandas().sort_values(["key", "codes"])
     number = {name: k for k, name in enumerate(languages)}
     network = Network(languages)
-    codes = np.array([np.frombuffer(c, np.int16) for c in got["codes"]], np.int64).reshape(-1, WINDOW)
+    codes = np.frombuffer(b"".join(got["codes"]), np.int16).reshape(-1, WINDOW)
     network.learn(codes, np.array([number[x] for x in got["lang"]], np.int64))
     return network
 

@@ -60,3 +60,13 @@ def test_odd_rows(spark):
     assert [r[0] for r in none] == ["und"]
     kept = langid.kept(spark, docs, "")
     assert kept.columns == docs.columns and kept.where("doc_id = 100").count() == 1 and kept.where("text is null").count() == 0
+
+
+def test_every_language_of_the_training_rows_is_learned(spark):
+    names = [f"l{k:02d}" for k in range(70)]
+    rows = [(100 * k + n, f"{chr(0x4E00 + 40 * k)}{chr(0x4E01 + 40 * k)} " * 30, name) for k, name in enumerate(names) for n in range(3)]
+    network = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert network.languages == names
+    p = langid.pooled(network, [t.encode() for _, t, _ in rows])
+    assert p.shape == (210, 70) and np.allclose(p.sum(1), 1, atol=1e-4)
+    assert np.mean([names[k] == r[2] for k, r in zip(p.argmax(1), rows, strict=True)]) > 0.5
