@@ -79,3 +79,10 @@ def test_near_pairs(spark):
     got = {(r["a"], r["b"]) for r in fingerprint.near_pairs(odd.documents(spark, rows)).collect()}
     assert {(1, 2), (1, 3)} <= got <= {(1, 2), (1, 3), (2, 3)}
     assert fingerprint.near_pairs(odd.empty(spark)).count() == 0
+
+
+def test_near_pairs_of_a_bucket_are_linked_whatever_its_smallest_member(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "band_keys", lambda prints: np.zeros((len(prints), fingerprint.BANDS), np.int64))
+    rows = [(1, "abcdefghij", "en", "s"), (2, "XYcdefghij", "en", "s"), (3, "XYZWefghij", "en", "s"), (4, "0123456789", "en", "s")]
+    got = {(r["a"], r["b"]) for r in fingerprint.near_pairs(odd.documents(spark, rows)).collect()}
+    assert got == {(1, 2), (2, 3)}
