@@ -7,8 +7,12 @@ a lost executor costs a re-read and not a recomputation.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import tempfile
 import uuid
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``, which all executors reach.
+
+    Where it is unset, a session without executors (``local[n]``) gets a folder of its own; on a
+    cluster no folder is known to be shared, so there it must be set.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext
-        kept = context._jsc.sc().getCheckpointDir()
-        if kept.isDefined():
-            return kept.get()
-        found = tempfile.mkdtemp(prefix="pagemill-")
-        context.setCheckpointDir(found)
-    return found.rstrip("/")
+    if found:
+        return found.rstrip("/")
+    context = spark.sparkContext
+    kept = context._jsc.sc().getCheckpointDir()
+    if kept.isDefined():
+        return kept.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="pagemill-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,7 +51,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagemill/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what :func:`stored` has written; nothing that is still to be read may depend on it."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def trim() -> None:
+    """Give memory that is free again back to the system.
+
+    Python workers are used again by later tasks and stages; without this each keeps what its
+    largest task needed, and an executor's memory only ever rises.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def crc_mod(column, modulus: int):

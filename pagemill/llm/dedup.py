@@ -35,12 +35,13 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagemill.llm.common import anti_or_semi, blocks, mix, stored, table, utf8
+from pagemill.llm.common import anti_or_semi, blocks, mix, stored, table, trim, utf8
 from pagemill.llm.links import components, stars, verified
 
 WORDS, SIMILARITY = 5, 0.8
@@ -49,6 +50,8 @@ TABLES, PICKED = 24, 4
 SHORT, FEW = 24, 2
 #: A shingle that at most so many documents have is rare.
 RARE = 8
+#: Labelled shingles that a task counts, in the mean.
+SHINGLES = 500_000
 #: Bytes of text that a task hashes at a time (a longer text is hashed alone).
 BLOCK_BYTES = 1_000_000
 
@@ -211,6 +214,7 @@ def in_blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
         for start, end in blocks(np.diff(offsets), BLOCK_BYTES):
             at = offsets[start : end + 1]
             yield batch.slice(start, end - start), data[at[0] : at[-1]], at - at[0]
+        trim()
 
 
 def sketched(rows: DataFrame) -> DataFrame:
@@ -241,17 +245,68 @@ def contents(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, content binary")
 
 
-def labelled(rows: DataFrame) -> DataFrame:
-    """Rows (id, text) as (id, shingle), one for each labelled shingle."""
-    kind = to_arrow_type(rows.schema["id"].dataType)
+def rare_shingles(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows (id, text) as rows (id, other, n): an id's rare shingles (other null), or those of a pair.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Sums over all rows of an id or a pair (in either order) are what it has. Tasks send each shard
+    of the shingles one row for each block of texts; of a shingle that more than RARE of the
+    block's texts have, they say only that it is frequent, so no shard gathers a common shingle.
+    """
+    kind = rows.schema["id"].dataType
+    arrow, name = to_arrow_type(kind), kind.simpleString()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in in_blocks(batches, 1):
             found, bounds = shingles(data, offsets)
             text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(kind).take(pa.array(text)), pa.array(found.view(np.int64))], ["id", "shingle"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, shingle long")
+            shard = (mix(found, 61) % np.uint64(shards)).astype(np.int64)
+            order = np.lexsort((found, shard))
+            found, text, shard = found[order], text[order], shard[order]
+            first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, int)
+            count = np.diff(np.r_[first, len(found)])
+            often = np.repeat(count > RARE, count)
+            common = found[first[count > RARE]], shard[first[count > RARE]]
+            found, text, shard = found[~often], text[~often], shard[~often]
+            there = np.union1d(shard, common[1])
+            cuts, ends = np.searchsorted(shard, there), np.searchsorted(shard, there, "right")
+            low, high = np.searchsorted(common[1], there), np.searchsorted(common[1], there, "right")
+            ids, texts, each, frequent = [], [], [], []
+            for c, e, x, y in zip(cuts.tolist(), ends.tolist(), low.tolist(), high.tolist(), strict=True):
+                own, place = np.unique(text[c:e], return_inverse=True)
+                ids.append(batch.column(0).take(pa.array(own)).cast(arrow))
+                texts.append(place.astype(np.int32).tobytes())
+                each.append(found[c:e].tobytes())
+                frequent.append(common[0][x:y].tobytes())
+            lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32), pa.concat_arrays(ids) if ids else pa.array([], arrow))
+            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), lists, *(pa.array(x, pa.binary()) for x in (texts, each, frequent))], ["shard", "ids", "texts", "shingles", "frequent"])
+
+    def count(batch: pd.DataFrame) -> pd.DataFrame:
+        trim()
+        ids = [np.asarray(x, object) for x in batch["ids"]]
+        starts = np.cumsum([0, *map(len, ids)])
+        ids = np.concatenate(ids)
+        owner = np.concatenate([np.frombuffer(t, np.int32) + s for t, s in zip(batch["texts"], starts, strict=False)])
+        found = np.concatenate([np.frombuffer(x, np.uint64) for x in batch["shingles"]])
+        frequent = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in batch["frequent"]]))
+        order = np.argsort(found)
+        found, owner = found[order], owner[order]
+        first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, int)
+        number = np.diff(np.r_[first, len(found)])
+        rare = np.repeat((number <= RARE) & ~np.isin(found[first], frequent), number)
+        found, owner = found[rare], owner[rare]
+        own = np.bincount(owner, minlength=len(ids))
+        pairs = [np.zeros(0, np.int64)]
+        for d in range(1, RARE):
+            same = np.flatnonzero(found[d:] == found[:-d])
+            a, b = np.minimum(owner[same], owner[same + d]), np.maximum(owner[same], owner[same + d])
+            pairs.append(a * np.int64(len(ids)) + b)
+        pairs, shared = np.unique(np.concatenate(pairs), return_counts=True)
+        has = np.flatnonzero(own)
+        none = np.full(len(has), None, object)
+        return pd.DataFrame({"id": np.r_[ids[has], ids[pairs // len(ids)]], "other": np.r_[none, ids[pairs % len(ids)]], "n": np.r_[own[has], shared].astype(np.int64)})
+
+    dealt = rows.mapInArrow(deal, f"shard long, ids array<{name}>, texts binary, shingles binary, frequent binary")
+    return dealt.groupBy("shard").applyInPandas(count, f"id {name}, other {name}, n long")
 
 
 def named(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -266,8 +321,8 @@ def still_open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(split, F.col("bucket") == F.col("of"), "left_semi")
 
 
-def across(opened: DataFrame, shingle_rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that can reach SIMILARITY.
+def across(opened: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that can reach SIMILARITY; ``texts`` are (id, text).
 
     A shingle that at most RARE of the open documents have is rare. Two documents match in at most
     as many shingles as the smaller number of frequent ones that either has, and the rare ones
@@ -276,11 +331,9 @@ def across(opened: DataFrame, shingle_rows: DataFrame) -> DataFrame:
     The largest component of a bucket isn't paired with itself, so what is joined is each other
     member with all members.
     """
-    counts = shingle_rows.groupBy("shingle").agg(F.min("id").alias("one"), F.count("*").alias("c")).where(F.col("c") <= RARE)
-    counts = stored(counts, "order-rare-counts")
-    shared = shingle_rows.join(counts.where("c > 1").select("shingle"), "shingle")
-    shared = stored(shared.select("shingle", "id"), "order-rare")
-    rare = counts.where("c = 1").select(F.col("one").alias("id")).unionByName(shared.select("id")).groupBy("id").agg(F.count("*").alias("r"))
+    total = opened.select("id", "n").distinct().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counts = stored(rare_shingles(texts, max(1, -(-total // SHINGLES))), "order-rare")
+    rare = counts.where("other is null").groupBy("id").agg(F.sum("n").alias("r"))
     docs = opened.select("id", "n", "class").distinct().join(rare, "id", "left")
     docs = stored(docs.select("id", "n", "class", (F.col("n") - F.coalesce("r", F.lit(0))).alias("most")), "order-bounds")
     least = SIMILARITY / (1 + SIMILARITY)
@@ -293,8 +346,7 @@ def across(opened: DataFrame, shingle_rows: DataFrame) -> DataFrame:
     strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *renamed)
     frequent = strays.join(can, "bucket").where((F.col("class") != F.col("_class")) & (lacking <= 0)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
 
-    other = shared.select("shingle", F.col("id").alias("_id"))
-    both = shared.join(other, "shingle").where("id < _id").groupBy("id", "_id").agg(F.count("*").alias("s"))
+    both = counts.where("other is not null and id <> other").groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("_id")).agg(F.sum("n").alias("s"))
     both = both.join(docs, "id").join(docs.select(*renamed), "_id").where((F.col("class") != F.col("_class")) & (lacking <= F.col("s")))
     return frequent.unionByName(both.select(F.col("id").alias("a"), F.col("_id").alias("b"))).distinct()
 
@@ -315,7 +367,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comps = stored(components(links), "order-classes")
     opened = stored(still_open(members, comps), "order-open")
     ids = opened.select("id").distinct()
-    more = stored(across(opened, labelled(named(alone, ids))).join(pairs, ["a", "b"], "left_anti"), "order-across")
+    more = stored(across(opened, named(alone, ids)).join(pairs, ["a", "b"], "left_anti"), "order-across")
     more = stored(verified(more, content_of(alone, more), aligned, SIMILARITY).select("a", "b"), "order-links")
     if not more.isEmpty():
         comps = stored(components(links.unionByName(more)), "order-classes")

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import crc_mod, table, utf8
+from pagemill.llm.common import crc_mod, table, trim, utf8
 
 WINDOW = 96
 HIDDEN = 12
@@ -253,6 +253,7 @@ def predict(network: Network, text: Column, spark: SparkSession) -> Column:
             best = p.argmax(1)
             known = np.array([*map(bool, texts)], bool)
             names = np.array([*own.languages, UNDETERMINED], object)
+            trim()
             yield pd.DataFrame({"lang_pred": names[np.where(known, best, len(own.languages))], "score": np.where(known, np.minimum(p.max(1), 1.0), 0.0)})
 
     return judged(text)

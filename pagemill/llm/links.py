@@ -14,10 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored
-
-#: Rounds of the component search; each at least halves the longest chain, so this is never met.
-MOST_ROUNDS = 60
+from pagemill.llm.common import stored, trim
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -30,11 +27,12 @@ def components(links: DataFrame) -> DataFrame:
     """Rows (id, class) for every id that a link (a, b) names: the smallest id it is linked to.
 
     Alternating stars: each round hangs the larger neighbours of every node, then all smaller ones,
-    onto the smallest; the rounds end when no edge changes. Edges are written between rounds.
+    onto the smallest. Each round at least halves the longest chain; they end when no edge changes,
+    however many that takes. Edges are written between rounds.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = stored(edges, "edges"), None
-    for _ in range(MOST_ROUNDS):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("of")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.where("v > u").join(least, F.col("u") == F.col("of")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -57,6 +55,7 @@ def verified(pairs: DataFrame, content: DataFrame, similarity: Callable[[bytes,
         for batch in batches:
             found = np.array([similarity(x, y) for x, y in zip(batch["first"], batch["second"], strict=True)], float)
             yield batch.loc[found >= least, ["a", "b"]].assign(similarity=found[found >= least])
+            trim()
 
     second = content.select(F.col("id").alias("b"), F.col("content").alias("second"))
     first = content.select(F.col("id").alias("a"), F.col("content").alias("first"))
