@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pagemill.llm import brown
-from pagemill.llm.common import crc_mod, table
+from pagemill.llm.common import crc_mod, stored, table
 from tests.llm import odd
 
 
@@ -52,31 +53,87 @@ def test_odd_rows(spark):
     assert brown.score(odd.empty(spark).withColumn("__held", crc_mod("doc_id", 7) == 2)).count() == 0
 
 
-def test_the_model_is_a_distribution_over_classes_and_words():
-    rng = np.random.default_rng(1)
-    grams = rng.integers(0, 50, (brown.UNITS, brown.UNITS)) * (rng.random((brown.UNITS, brown.UNITS)) < 0.002)
-    own = brown.exchange(grams, sweeps=1)
-    assert np.allclose((10 ** brown.transitions(grams, own)).sum(1), 1)
-    assert own[-1] == brown.CLASSES - 1 and (own[:-1] < brown.CLASSES - 1).all()
-
-
-def likelihood(grams, own):
-    member = np.eye(own.max() + 1)[own]
-    table = member.T @ grams @ member
-    return brown.xlogx(table).sum() - brown.xlogx(table.sum(0)).sum() - brown.xlogx(table.sum(1)).sum()
-
-
-def test_exchange_raises_the_likelihood_and_finds_words_that_are_used_alike():
+def fitted(spark, docs, deal):
+    """The model, and each word's count and class by its key."""
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)).alias("held"))
+    made = stored(brown.to_blocks(rows), "test-blocks")
+    model, answered = brown.fit(made, brown.asked(made, deal), deal)
+    own = answered.toPandas()
+    words = {}
+    for r in made.collect():
+        right = own[own["of_block"] == r["block"]]
+        for k, c, cls in zip(np.frombuffer(r["keys"], np.uint64).tolist(), brown.in_order(right, "c", np.int64).tolist(), brown.in_order(right, "classes", np.int32).tolist(), strict=True):
+            assert words.setdefault(k, (c, cls)) == (c, cls)
+    return model, words
+
+
+def key_of(word):
+    data = np.frombuffer((word or "").encode(), np.uint8)
+    return int(brown.tokens_of(data, np.array([0, len(data)]))[0][0])
+
+
+def test_scores_equal_those_of_a_count_in_plain_python(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = [(r["doc_id"], tokens(r["text"])) for r in docs.collect()]
+    model, words = fitted(spark, docs, brown.Deal(3, 2))
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    keys = {w: key_of(w) for _, own in rows for w in own}
+    assert len(set(keys.values())) == len(keys)
+    train = Counter(w for i, own in rows if not held(i) for w in own)
+    assert all(words[keys[w]][0] == train[w] for w in keys)
+    of = {w: words[keys[w]][1] for w in train}
+    n = brown.classes_for(len(train))
+    assert of[None] == n and all(0 <= c < n for w, c in of.items() if w is not None) and len(set(of.values())) > n // 2
+    grams, kinds = np.zeros((n + 1, n + 1)), Counter(of.values())
+    for i, own in rows:
+        if not held(i):
+            for x, y in zip([None, *own], own, strict=False):
+                grams[of[x], of[y]] += 1
+    mass, alone = grams.sum(0), (grams.sum(0) + 1) / (grams.sum() + n + 1)
+
+    def move(a):
+        return alone if a is None else (grams[a] + brown.BACKOFF * alone) / (grams[a].sum() + brown.BACKOFF)
+
+    def of_text(own):
+        state, total = n, 0.0
+        for w in own:
+            p = move(state)
+            if w in of:
+                state = of[w]
+                total += math.log10(p[state] * (1 if w is None else train[w] / (mass[state] + kinds[state])))
+            else:
+                state = None
+                total += math.log10(sum(p[k] * (kinds[k] / (mass[k] + kinds[k]) if mass[k] else 1) for k in range(n)))
+        return total
+
+    got = {r["doc_id"]: r["score"] for r in brown.query(spark, sf).collect()}
+    assert all(abs(got[i] - of_text(own)) < 1e-6 * len(own) for i, own in rows)
+    for a in [*range(n + 1), None]:  # all words, the unknown one and the end
+        p = move(a)
+        every = sum(p[k] * (train[w] / (mass[k] + kinds[k])) for w, k in of.items() if w is not None) + p[n]
+        assert abs(every + sum(p[k] * (kinds[k] / (mass[k] + kinds[k]) if mass[k] else 1) for k in range(n)) - 1) < 1e-9
+
+
+def test_words_and_texts_are_told_apart():
+    texts = [b"", b"Ab  c\td", b" \n", b"ab", "\u00e9 x".encode(), b"x\x0cy"]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.r_[0, np.cumsum([*map(len, texts)])]
+    keys, shards, sizes = brown.tokens_of(data, offsets)
+    want = [[key_of(w.decode()) for w in t.lower().split()] + [int(brown.END)] for t in texts]
+    assert keys.tolist() == [k for own in want for k in own] and sizes.tolist() == [len(own) for own in want]
+    assert (shards[keys == brown.END] == 0).all()
+    assert brown.tokens_of(np.zeros(0, np.uint8), np.zeros(3, np.int64))[2].tolist() == [1, 1]
+
+
+def test_exchange_finds_words_that_are_used_alike():
     # three kinds of words, each followed by the next kind, of uneven numbers and frequencies
-    grams, rng = np.zeros((40, 40), np.int64), np.random.default_rng(2)
+    grams, rng = np.zeros((41, 41), np.int64), np.random.default_rng(2)
     kinds = [list(range(0, 8)), list(range(8, 21)), list(range(21, 39))]
     for _ in range(20_000):
         k = rng.integers(0, 3)
         a, b = (kinds[x][int(len(kinds[x]) * rng.random() ** 2)] for x in (k, (k + 1) % 3))
         grams[a, b] += 1
-    found = [likelihood(grams, brown.exchange(grams, classes=4, sweeps=n)) for n in (1, 2, 4, 8)]
-    assert found == sorted(found)
-    own = brown.exchange(grams, classes=4, sweeps=8)
+    own = brown.exchange(grams, classes=3)
+    assert own[39:].tolist() == [3, 4]
     used = [w for k in kinds for w in k if grams[w].sum()]
     true = np.array([next(n for n, k in enumerate(kinds) if w in k) for w in used])
     assert all(len(set(own[used][true == k])) == 1 for k in range(3)) and len(set(own[used])) == 3
