@@ -60,11 +60,20 @@ def greedy_decode(steps: Column, letters: list[str]) -> Column:
 
     Of each step the first most probable letter counts; repeats, then blanks, are dropped.
     """
-    best = F.transform(steps, lambda v: F.struct((F.array_position(v, F.array_max(v)) - 1).cast("int").alias("k"), F.array_max(v).alias("p")))
-    kept = F.filter(best, lambda x, i: (x["k"] != 0) & ((i == 0) | (x["k"] != F.get(best, i - 1)["k"])))
     table = F.array(*map(F.lit, letters))
-    total = F.aggregate(kept, F.lit(0.0), lambda s, x: s + x["p"])
-    return F.struct(F.array_join(F.transform(kept, lambda x: F.get(table, x["k"])), "").alias("text"), F.coalesce(F.try_divide(total, F.size(kept).cast("double")), F.lit(0.0)).alias("confidence"))
+    none = F.struct(F.lit(0).alias("before"), F.lit("").alias("text"), F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+
+    def step(s: Column, v: Column) -> Column:
+        top = F.array_max(v)
+        k = (F.array_position(v, top) - 1).cast("int")
+        new = (k != 0) & (k != s["before"])
+        return F.struct(
+            k.alias("before"), F.when(new, F.concat(s["text"], F.get(table, k))).otherwise(s["text"]).alias("text"),
+            F.when(new, s["total"] + top).otherwise(s["total"]).alias("total"), F.when(new, s["n"] + 1).otherwise(s["n"]).alias("n"),
+        )
+
+    end = lambda s: F.struct(s["text"].alias("text"), F.coalesce(F.try_divide(s["total"], s["n"].cast("double")), F.lit(0.0)).alias("confidence"))
+    return F.aggregate(steps, none, step, end)
 
 
 def clipped(value: Column, scale: Column, most: Column) -> Column:

@@ -43,10 +43,21 @@ def reading_order(lines: Column) -> Column:
 
 
 @F.pandas_udf(DoubleType())
-def similarity(first: pd.Series, second: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio of two texts; the order of the texts matters; null counts as empty."""
-    text = lambda x: x if isinstance(x, str) else ""
-    return pd.Series([SequenceMatcher(None, text(a), text(b)).ratio() for a, b in zip(first, second, strict=True)], dtype=float)
+def matched_share(first: pd.Series, second: pd.Series) -> pd.Series:
+    """Ratcliff-Obershelp ratio of two texts; null where one of them is."""
+    return pd.Series([SequenceMatcher(None, a, b).ratio() if isinstance(a, str) and isinstance(b, str) else None for a, b in zip(first, second, strict=True)], dtype=float)
+
+
+def similarity(first: Column | str, second: Column | str) -> Column:
+    """Ratcliff-Obershelp ratio of two texts; the order of the texts matters; null counts as empty.
+
+    Pairs with an empty text, and short equal ones, are settled without Python. (Long equal texts
+    can have a ratio below 1: from 200 characters on, frequent ones don't count as matches.)
+    """
+    a, b = (F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit("")) for x in (first, second))
+    plain = F.when((a == b) & (F.length(a) < 200), 1.0).when((a == "") | (b == ""), 0.0)
+    asked = lambda x: F.when(plain.isNull(), x)
+    return F.coalesce(plain, matched_share(asked(a), asked(b)))
 
 
 def gibibytes(usage: Column) -> Column:
@@ -62,12 +73,14 @@ def percent(text: Column) -> Column:
     return F.coalesce(F.rtrim(F.regexp_replace(text, "%$", "")).try_cast("double"), F.lit(0.0))
 
 
-def delta(old: Column, new: Column) -> Column:
+def delta(old: Column, new: Column, places: Column | int = 2, unit: Column | str = "") -> Column:
     """How a report writes a change: a value with ``(no change)`` or ``(new)``, or both and the percentage."""
-    value = F.format_string("%.2f", new)
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    pattern = F.concat(F.lit("%."), as_column(places).cast("string"), F.lit("f"))
+    number = lambda x: F.concat(F.call_function("format_string", pattern, x), as_column(unit))
     share = F.try_divide(new - old, F.abs(old)) * 100
-    change = F.concat(F.format_string("%.2f", old), F.lit(" → "), value, F.lit(" ("), F.when(share >= 0, "+").otherwise(""), F.format_string("%.1f", share), F.lit("%)"))
-    return F.when((old == 0) & (new == 0), F.concat(value, F.lit(" (no change)"))).when(old == 0, F.concat(value, F.lit(" (new)"))).otherwise(change)
+    change = F.concat(number(old), F.lit(" → "), number(new), F.lit(" ("), F.when(share >= 0, "+").otherwise(""), F.format_string("%.1f", share), F.lit("%)"))
+    return F.when((old == 0) & (new == 0), F.concat(number(new), F.lit(" (no change)"))).when(old == 0, F.concat(number(new), F.lit(" (new)"))).otherwise(change)
 
 
 def is_not_found(message: Column) -> Column:

@@ -49,3 +49,27 @@ def by_group(rows: DataFrame, group: str) -> DataFrame:
         F.count("*").alias("documents"), weighted("first").alias("first_confidence"), weighted("second").alias("second_confidence"),
         *[F.coalesce(f("similarity"), F.lit(0.0)).alias(n) for f, n in ((F.avg, "similarity"), (F.min, "least_similarity"), (F.max, "most_similarity"))],
     )
+
+
+def corpus_totals(rows: DataFrame) -> DataFrame:
+    """Rows (metric, first, second, difference): lines, chars and line-weighted confidence of all
+    documents of each engine that have no error; confidence is null without a line."""
+    sums = []
+    for s in ("first", "second"):
+        good = F.col(f"{s}_error").isNull() if f"{s}_error" in rows.columns else F.lit(True)
+        lines, chars = (F.coalesce(F.sum(F.when(good, F.col(f"{s}_{c}"))), F.lit(0)).cast("double") for c in ("lines", "chars"))
+        weight = F.sum(F.when(good, F.col(f"{s}_avg_confidence") * F.col(f"{s}_lines")))
+        sums.append(F.array(lines, chars, F.try_divide(weight, lines)).alias(s))
+    both = rows.agg(*sums)
+    each = both.select(F.posexplode(F.arrays_zip("first", "second")).alias("k", "x"))
+    name = F.element_at(F.array(*map(F.lit, ("lines", "chars", "confidence"))), F.col("k") + 1)
+    return each.select(name.alias("metric"), "x.first", "x.second", (F.col("x.first") - F.col("x.second")).alias("difference"))
+
+
+def save_comparison(rows: DataFrame, path: str, key: str = "path") -> None:
+    """Write both engines' results of each document as JSON lines: engine, key and the engine's figures."""
+    sides = []
+    for s in ("first", "second"):
+        own = [c for c in rows.columns if c.startswith(f"{s}_")]
+        sides.append(rows.select(F.lit(s).alias("engine"), key, *[F.col(c).alias(c.removeprefix(f"{s}_")) for c in own]))
+    sides[0].unionByName(sides[1], allowMissingColumns=True).write.mode("overwrite").json(path)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.functions.texts import delta
+from pagemill.functions.texts import delta, gibibytes
 
 
 def rate(amount: Column, seconds: Column) -> Column:
@@ -18,8 +18,12 @@ def positive_mean(value: Column) -> Column:
 
 
 def percentiles(value: Column, at: tuple[float, ...] = (0.5, 0.95, 0.99)) -> list[Column]:
-    """Exact percentiles with linear interpolation, named p50 and so on; 0 without a value."""
-    return [F.coalesce(F.percentile(value, p), F.lit(0.0)).alias(f"p{round(p * 100)}") for p in at]
+    """Exact percentiles with linear interpolation, named p50 and so on; 0 without a value.
+
+    All are taken from one aggregate, which Spark shares among the columns.
+    """
+    found = F.percentile(value, list(at))
+    return [F.coalesce(found[k], F.lit(0.0)).alias(f"p{round(p * 100)}") for k, p in enumerate(at)]
 
 
 def spread(value: Column) -> Column:
@@ -32,6 +36,54 @@ def waits(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("queue_wait", F.col("start_time") - F.col("submit_time")).withColumn("overhead", F.when(F.col("server_time") > 0, F.col("wall_time") - F.col("server_time")).otherwise(0.0))
 
 
+# What a comparison shows, in this order: label, figure of a run, places, unit.
+SHOWN = [
+    ("Pages/sec (wall)", "pages_per_sec_wall", 1, ""), ("Pages/sec (svr)", "pages_per_sec_server", 1, ""), ("Page p50", "page_latency_p50", 2, "s"), ("Page p95", "page_latency_p95", 2, "s"),
+    ("Batch throughput σ", "batch_throughput_std", 1, ""), ("GPU utilization", "avg_gpu_utilization", 0, "%"), ("Page errors", "total_page_errors", 0, ""), ("Memory", "memory_peak", 1, "GiB"),
+    ("Avg queue wait", "avg_queue_wait", 2, "s"), ("Startup time", "startup_time", 1, "s"), ("Avg render time", "avg_render_time", 3, "s"), ("Avg OCR time", "avg_ocr_time", 3, "s"),
+]
+
+
+def report(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows (ordinal, label, old, new, change) of two one-row runs, for the figures of SHOWN.
+
+    A figure that a run hasn't is 0; memory is text and counts in GiB.
+    """
+    lines = spark_rows(old.sparkSession, SHOWN, "label string, metric string, places int, unit string")
+
+    def figures(run: DataFrame, name: str) -> DataFrame:
+        there = {c: F.coalesce(gibibytes(F.col(c)) if c == "memory_peak" else F.col(c).cast("double"), F.lit(0.0)) for _, c, *_ in SHOWN if c in run.columns}
+        own = run.select(*[there.get(c, F.lit(0.0)).alias(c) for _, c, *_ in SHOWN])
+        return own.unpivot([], [c for _, c, *_ in SHOWN], "metric", name)
+
+    both = F.broadcast(lines).join(figures(old, "old"), "metric").join(figures(new, "new"), "metric")
+    return both.select("ordinal", "label", "old", "new", delta(F.col("old"), F.col("new"), F.col("places"), F.col("unit")).alias("change"))
+
+
+def spark_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    return spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], f"ordinal int, {schema}")
+
+
+def time_shares(render: Column, ocr: Column) -> list[Column]:
+    """Mean times for drawing and for reading a page (over times of more than 0), and their shares in percent."""
+    a, b = positive_mean(render), positive_mean(ocr)
+    share = lambda x: F.coalesce(F.when(a + b > 0, F.try_divide(x, a + b) * 100), F.lit(0.0))
+    return [a.alias("render_time"), b.alias("ocr_time"), share(a).alias("render_percent"), share(b).alias("ocr_percent")]
+
+
+def counters(documents: DataFrame, seconds: float, by: list[str] | None = None) -> DataFrame:
+    """What a run did, from rows (ok, saved, pages): processed and failed documents, saved ones, pages, and rates.
+
+    Pages of documents that weren't saved count; documents that failed have none.
+    """
+    ok = F.coalesce(F.col("ok"), F.lit(False))
+    own = documents.groupBy(*(by or [])).agg(
+        F.count_if(ok).alias("processed"), F.count_if(~ok).alias("failed"), F.count_if(ok & F.coalesce(F.col("saved"), F.lit(False))).alias("saved"),
+        F.coalesce(F.sum(F.when(ok, F.col("pages"))), F.lit(0)).cast("long").alias("pages"),
+    )
+    return own.withColumns({"documents_per_second": rate(F.col("processed"), F.lit(float(seconds))), "pages_per_second": rate(F.col("pages"), F.lit(float(seconds)))})
+
+
 def compared(old: DataFrame, new: DataFrame) -> DataFrame:
     """Metrics (metric, value) of two runs side by side, with the change as a report writes it."""
     both = old.select("metric", F.col("value").alias("old")).join(new.select("metric", F.col("value").alias("new")), "metric")

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.json import merged
 from pagemill.functions.texts import LINES, is_blank
 
 
@@ -53,12 +54,19 @@ def recognised(pages: DataFrame, make: Callable[[], Engine], dpi: int = 100) ->
     return pages.mapInPandas(run, schema)
 
 
-def with_second_pass(results: DataFrame, again: Callable[[DataFrame], DataFrame], key: str = "document_id") -> DataFrame:
+def marked(results: DataFrame, dpi: int, column: str = "ocr_metadata") -> DataFrame:
+    """Results whose metadata say that they come from a second pass, and at which resolution."""
+    marks = F.to_json(F.struct(F.lit(True).alias("fallback"), F.lit(dpi).alias("fallback_dpi")))
+    return results.withColumn(column, merged(F.coalesce(column, F.lit("{}")), marks))
+
+
+def with_second_pass(results: DataFrame, again: Callable[[DataFrame], DataFrame], key: str = "document_id", dpi: int | None = None) -> DataFrame:
     """Results, those without text read once more; ``again`` maps their keys to new results.
 
     Documents that still have no text are dropped, so that they stay pending; text that was there
-    is never replaced.
+    is never replaced. With ``dpi`` the new results' metadata are marked.
     """
     blank = results.where(is_blank(F.col("full_text")))
     better = again(blank.select(key)).where(~is_blank(F.col("full_text")))
+    better = better if dpi is None else marked(better, dpi)
     return results.where(~is_blank(F.col("full_text"))).unionByName(better, allowMissingColumns=True)

@@ -116,6 +116,11 @@ def pages(rows: DataFrame, size: int = 500, target: int | None = None, **how):
             return
 
 
+def queue_fields(rows: DataFrame) -> DataFrame:
+    """What is known of a document in the queue: FIELDS, and its result's id where it has one."""
+    return rows.select(*FIELDS, *[c for c in ("ocr_result_id",) if c in rows.columns])
+
+
 def about_pending(documents: DataFrame, results: DataFrame) -> DataFrame:
     """How many documents have no result, from the tables' row counts alone; never below 0."""
     a, b = (x.agg(F.count(F.lit(1)).alias("n")) for x in (documents, results))

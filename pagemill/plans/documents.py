@@ -53,8 +53,8 @@ def doc_full_text(spark, sf):
 @registered("""WITH pages AS (SELECT user_id, date_trunc('day', ts) AS d, avg(value / 100) AS m FROM events GROUP BY 1, 2)
 SELECT user_id, count(*)::INTEGER AS pages, round(coalesce(avg(c) FILTER (c > 0), 0), 6) AS confidence FROM (SELECT *, CASE WHEN m <= 1 THEN m * 100 ELSE m END AS c FROM pages) GROUP BY 1""")
 def doc_confidence(spark, sf):
-    day = F.to_date("ts")
-    pages = table(spark, sf, "events").groupBy("user_id", day.alias("page")).agg(F.collect_list(line(F.lit(""), F.col("value") / 100)).alias("lines"))
+    day = F.to_date("ts")  # a page's confidence is a mean, so its lines are averaged and not gathered
+    pages = table(spark, sf, "events").groupBy("user_id", day.alias("page")).agg(F.array(line(F.lit(""), F.avg(F.col("value") / 100))).alias("lines"))
     pages = pages.withColumns({"path": F.lit(""), "status": F.lit("success")})
     return results.documents_of(pages, ["user_id"]).select("user_id", "pages", F.round("confidence", 6).alias("confidence"))
 
@@ -88,6 +88,22 @@ def zero_text_split(spark, sf):
     return with_second_pass(first, again)
 
 
+@registered("""SELECT doc_id AS document_id, lang = 'de' AS fallback, CASE WHEN lang = 'de' THEN 300 END AS fallback_dpi, 'engine' AS engine FROM documents WHERE lang <> 'de' OR n_chars >= 500""")
+def fallback_marks(spark, sf):
+    """As above: results of the second pass say so in their metadata."""
+    docs = table(spark, sf, "documents")
+    meta = F.to_json(F.struct(F.lit("engine").alias("engine"))).alias("ocr_metadata")
+    first = docs.select(F.col("doc_id").alias("document_id"), F.when(F.col("lang") == "de", "").otherwise(F.col("text")).alias("full_text"), meta)
+
+    def again(keys):
+        text = F.when(F.col("n_chars") >= 500, F.col("text")).otherwise("")
+        return docs.join(keys, F.col("doc_id") == F.col("document_id")).select("document_id", text.alias("full_text"), meta)
+
+    field = lambda n: F.get_json_object("ocr_metadata", f"$.{n}")
+    rows = with_second_pass(first, again, dpi=300)
+    return rows.select("document_id", F.coalesce(field("fallback").cast("boolean"), F.lit(False)).alias("fallback"), field("fallback_dpi").cast("int").alias("fallback_dpi"), field("engine").alias("engine"))
+
+
 @registered("SELECT conv_id AS job_id, page FROM (SELECT DISTINCT conv_id FROM conversations), LATERAL (SELECT unnest(range(6)) AS page) WHERE (conv_id, page) NOT IN (SELECT conv_id, turn FROM conversations)")
 def missing_pages(spark, sf):
     seen = table(spark, sf, "conversations").select(F.col("conv_id").alias("job_id"), F.lit("").alias("path"), F.col("turn").alias("page"))
@@ -133,6 +149,21 @@ def era_rollup(spark, sf):
     return found.withColumns({c: F.round(c, 6) for c in ("first_confidence", "second_confidence", "similarity")})
 
 
+SIDED = """WITH rows AS (SELECT o_orderkey % 7 + 1 AS a, o_orderkey % 5 + 1 AS b, (o_orderkey % 10) / 10.0 AS c, (o_orderkey % 9) / 9.0 AS d, o_orderkey % 11 = 0 AS bad FROM orders)"""
+
+
+@registered(f"""{SIDED}, sums AS (SELECT sum(a) FILTER (NOT bad) AS a, sum(b) AS b, sum(a * 10) FILTER (NOT bad) AS ca, sum(b * 10) AS cb, sum(c * a) FILTER (NOT bad) / sum(a) FILTER (NOT bad) AS c, sum(d * b) / sum(b) AS d FROM rows)
+SELECT metric, round(first, 6)::DOUBLE AS first, round(second, 6)::DOUBLE AS second, round(first - second, 6)::DOUBLE AS difference
+FROM (SELECT 'lines' AS metric, a::DOUBLE AS first, b::DOUBLE AS second FROM sums UNION ALL SELECT 'chars', ca, cb FROM sums UNION ALL SELECT 'confidence', c, d FROM sums)""")
+def corpus_totals(spark, sf):
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(
+        (k % 7 + 1).alias("first_lines"), (k % 5 + 1).alias("second_lines"), ((k % 7 + 1) * 10).alias("first_chars"), ((k % 5 + 1) * 10).alias("second_chars"),
+        ((k % 10) / 10.0).alias("first_avg_confidence"), ((k % 9) / 9.0).alias("second_avg_confidence"), F.when(k % 11 == 0, "bad").alias("first_error"),
+    )
+    return accuracy.corpus_totals(rows).withColumns({c: F.round(c, 6) for c in ("first", "second", "difference")})
+
+
 @registered("""SELECT d.doc_id, coalesce(l.quality, -1)::BIGINT AS first_quality, b.text AS second_text, CASE WHEN l.doc_id IS NOT NULL AND b.item_id IS NOT NULL THEN 'ok' ELSE 'MISSING' END AS state
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN benchmark b ON d.doc_id = b.item_id""")
 def pair_lookup_left(spark, sf):

@@ -115,6 +115,46 @@ def baseline_compare(spark, sf):
     return metrics.compared(half(events.where(old)), half(events.where(~old))).withColumn("regressed", metrics.regressed(F.col("old"), F.col("new"), 1.0))
 
 
+FIGURES = "count(*)::DOUBLE AS pages_per_sec_wall, round(quantile_cont(value, 0.5), 4) AS page_latency_p50, round(quantile_cont(value, 0.95), 4) AS page_latency_p95, round(stddev_samp(value), 4) AS batch_throughput_std, count(*) FILTER (event_type = 'error')::DOUBLE AS total_page_errors, concat(user_id, '.5GiB / 64GiB') AS memory_peak"
+LABELS = ", ".join(f"({k}, '{label}', '{name}', {places}, '{unit}')" for k, (label, name, places, unit) in enumerate(metrics.SHOWN))
+
+
+@registered(f"""WITH a AS (SELECT {FIGURES} FROM events WHERE user_id = 1 GROUP BY user_id), b AS (SELECT {FIGURES} FROM events WHERE user_id = 2 GROUP BY user_id),
+labels AS (SELECT * FROM (VALUES {LABELS}) AS v(ordinal, label, metric, places, unit)),
+pick AS (SELECT 'a' AS run, *, 1.5 AS gib FROM a UNION ALL SELECT 'b', *, 2.5 FROM b),
+figures AS (SELECT run, metric, ordinal, label, places, unit, coalesce(CASE metric WHEN 'pages_per_sec_wall' THEN pages_per_sec_wall WHEN 'page_latency_p50' THEN page_latency_p50 WHEN 'page_latency_p95' THEN page_latency_p95
+WHEN 'batch_throughput_std' THEN batch_throughput_std WHEN 'total_page_errors' THEN total_page_errors WHEN 'memory_peak' THEN gib END, 0)::DOUBLE AS value FROM labels, pick)
+SELECT o.ordinal, o.label, o.value AS old, n.value AS new, o.value = 0 AND n.value = 0 AS unchanged, o.value = 0 AND n.value <> 0 AS fresh FROM figures o JOIN figures n ON o.metric = n.metric AND o.run = 'a' AND n.run = 'b'""")
+def baseline_report(spark, sf):
+    """Two users' events as two runs, in the report's fixed order; figures that neither has are 0."""
+
+    def run(user):
+        v = F.col("value")
+        p50, p95, _ = metrics.percentiles(v)
+        return table(spark, sf, "events").where(F.col("user_id") == user).agg(
+            F.count("*").cast("double").alias("pages_per_sec_wall"), F.round(p50, 4).alias("page_latency_p50"), F.round(p95, 4).alias("page_latency_p95"), F.round(metrics.spread(v), 4).alias("batch_throughput_std"),
+            F.count_if(F.col("event_type") == "error").cast("double").alias("total_page_errors"), F.lit(f"{user}.5GiB / 64GiB").alias("memory_peak"),
+        )
+
+    found = metrics.report(run(1), run(2))
+    return found.select("ordinal", "label", "old", "new", F.col("change").endswith("(no change)").alias("unchanged"), F.col("change").endswith("(new)").alias("fresh"))
+
+
+@registered("""WITH t AS (SELECT user_id, avg(value) FILTER (value > 0 AND event_type = 'view') AS a, avg(value) FILTER (value > 0 AND event_type = 'click') AS b FROM events GROUP BY 1), s AS (SELECT user_id, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM t)
+SELECT user_id, round(a, 6) AS render_time, round(b, 6) AS ocr_time, round(CASE WHEN a + b > 0 THEN a / (a + b) * 100 ELSE 0 END, 4) AS render_percent, round(CASE WHEN a + b > 0 THEN b / (a + b) * 100 ELSE 0 END, 4) AS ocr_percent FROM s""")
+def time_split(spark, sf):
+    of = lambda kind: F.when(F.col("event_type") == kind, F.col("value"))
+    found = table(spark, sf, "events").groupBy("user_id").agg(*metrics.time_shares(of("view"), of("click")))
+    return found.select("user_id", *[F.round(c, n).alias(c) for c, n in (("render_time", 6), ("ocr_time", 6), ("render_percent", 4), ("ocr_percent", 4))])
+
+
+@registered("""SELECT lang, count(*) FILTER (NOT bad) AS processed, count(*) FILTER (bad) AS failed, count(*) FILTER (NOT bad AND n_chars >= 200) AS saved, coalesce(sum(1 + n_chars // 1000) FILTER (NOT bad), 0)::BIGINT AS pages,
+round(count(*) FILTER (NOT bad) / 60.0, 6)::DOUBLE AS documents_per_second, round(coalesce(sum(1 + n_chars // 1000) FILTER (NOT bad), 0) / 60.0, 6)::DOUBLE AS pages_per_second FROM (SELECT lang, n_chars, doc_id % 13 = 0 AS bad FROM documents) GROUP BY 1""")
+def run_counters(spark, sf):
+    docs = table(spark, sf, "documents").select("lang", (F.col("doc_id") % 13 != 0).alias("ok"), (F.col("n_chars") >= 200).alias("saved"), (F.lit(1) + F.floor(F.col("n_chars") / 1000)).alias("pages"))
+    return metrics.counters(docs, 60, ["lang"]).withColumns({c: F.round(c, 6) for c in ("documents_per_second", "pages_per_second")})
+
+
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -123,17 +163,48 @@ def micro_batch_apply(spark, sf):
     """Events as a file stream, added to a table batch by batch."""
 
     def change(table_, batch):
-        new = batch.groupBy(F.col("user_id").alias("document_id")).agg(F.count("*").alias("pages"), F.max("value").alias("longest"), F.max("ts").alias("updated_at"))
+        new = batch.groupBy("document_id").agg(F.count("*").alias("pages"), F.max("value").alias("longest"), F.max("ts").alias("updated_at"))
         both = table_.unionByName(new)
         return both.groupBy("document_id").agg(F.sum("pages").alias("pages"), F.max("longest").alias("longest"), F.max("updated_at").alias("updated_at"))
 
-    kept = streams.VersionedTable(spark, streams.shared_dir(spark), "document_id long, pages long, longest double, updated_at timestamp")
-    return streams.applied(streams.file_stream(spark, sf, "events.parquet", EVENTS), kept, change)
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), "document_id long, pages long, longest double, updated_at timestamp", "document_id")
+    return streams.applied(streams.file_stream(spark, sf, "events.parquet", EVENTS).withColumnRenamed("user_id", "document_id"), kept, change)
 
 
 @registered("SELECT user_id AS job_id, count(*) AS processed_pages, count(*) FILTER (event_type = 'error') AS failed_pages, max(event_id) AS last_page FROM events GROUP BY 1")
 def stateful_job_tracker(spark, sf):
     """Events as a stream of page results; the state of every job after the last one."""
     results = streams.file_stream(spark, sf, "events.parquet", EVENTS).select(F.col("user_id").alias("job_id"), F.col("event_id").alias("page"), (F.col("event_type") == "error").alias("failed"))
-    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.TRACKED)
-    return streams.applied(streams.tracked(results), kept, streams.newest, "update")
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.TRACKED, "job_id")
+    return streams.applied(streams.tracked(results), kept, streams.newest)
+
+
+@registered("""WITH e AS (SELECT user_id AS job_id, CASE WHEN event_type = 'signup' THEN 'submitted' WHEN json_extract_string(props, '$.k')::INTEGER % 10 = 0 THEN 'dropped' ELSE 'page' END AS kind, event_type = 'error' AS failed FROM events),
+c AS (SELECT job_id, 10 + job_id % 40 AS total_pages, count(*) FILTER (kind = 'page') AS processed_pages, count(*) FILTER (kind = 'page' AND failed) AS failed_pages, count(*) FILTER (kind = 'dropped') AS dropped_pages
+FROM e GROUP BY 1, 2 HAVING count(*) FILTER (kind = 'submitted') > 0)
+SELECT *, CASE WHEN processed_pages < total_pages - dropped_pages THEN 'processing' WHEN failed_pages > 0 OR dropped_pages > 0 THEN 'completed_with_errors' ELSE 'completed' END AS status FROM c""")
+def stream_job_states(spark, sf):
+    """Events as a stream: a signup submits the user's job, other events are its pages; users without one are unknown."""
+    kind = F.when(F.col("event_type") == "signup", "submitted").when(F.get_json_object("props", "$.k").cast("int") % 10 == 0, "dropped").otherwise("page")
+    events = streams.file_stream(spark, sf, "events.parquet", EVENTS).select(F.col("user_id").alias("job_id"), kind.alias("kind"), F.col("event_id").alias("page"), (F.col("event_type") == "error").alias("failed"), (F.lit(10) + F.col("user_id") % 40).alias("total_pages"))
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.STATES, "job_id")
+    return streams.with_status(streams.applied(streams.job_states(events), kept, streams.newest))
+
+
+@registered("""SELECT o_custkey AS document_id, count(*)::BIGINT AS pages, arg_max(o_orderstatus, o_orderkey) AS full_text FROM orders GROUP BY 1""")
+def upsert_versions(spark, sf):
+    """Three batches of orders, each added to a table by customer that is kept on disk and read again."""
+    orders = table(spark, sf, "orders")
+    folder = streams.shared_dir(spark)
+
+    def change(old, batch):
+        new = batch.groupBy(F.col("o_custkey").alias("document_id")).agg(F.count("*").alias("pages"), F.max(F.struct("o_orderkey", "o_orderstatus")).alias("last"))
+        both = old.select("document_id", "pages", F.struct(F.col("last_key").alias("o_orderkey"), F.col("full_text").alias("o_orderstatus")).alias("last")).unionByName(new)
+        return both.groupBy("document_id").agg(F.sum("pages").alias("pages"), F.max("last").alias("last")).select("document_id", "pages", F.col("last.o_orderkey").alias("last_key"), F.col("last.o_orderstatus").alias("full_text"))
+
+    schema = "document_id long, pages long, last_key long, full_text string"
+    for k in range(3):
+        kept = streams.VersionedTable(spark, folder, schema, "document_id")
+        kept.update(change, orders.where(F.col("o_orderkey") % 3 == k).withColumn("document_id", F.col("o_custkey")), k)
+        kept.update(change, orders.where(F.col("o_orderkey") % 3 == k).withColumn("document_id", F.col("o_custkey")), k)  # comes again, counts once
+    return kept.read().drop("last_key")
\ No newline at end of file

@@ -1,7 +1,10 @@
-"""A session with the settings that the queries count on."""
+"""A session with the settings that the queries count on, and its shared folder."""
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -17,3 +20,17 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     if master:
         builder = builder.master(master)
     return builder.config(map=SETTINGS | settings).getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, which all executors reach.
+
+    Where it is unset, a session without executors of its own (``local[n]``) gets a new folder; on
+    a cluster no folder is known to be shared, so there it must be set.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="pagemill-")
+    return found.rstrip("/")

@@ -14,9 +14,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def database(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """Rows of a query over JDBC; a driver for the database must be on the class path."""
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+def database(spark: SparkSession, url: str, query: str, by: str | None = None, parts: int = 16, **options: str) -> DataFrame:
+    """Rows of a query over JDBC; a driver for the database must be on the class path.
+
+    With a numeric or time column ``by`` the rows are read in ``parts`` ranges of it, each a task
+    and a connection of its own (the first one also reads nulls); without, in one task.
+    """
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if by is None:
+        return reader.option("query", query).load()
+    ends = reader.option("query", f"SELECT min({by}) AS lo, max({by}) AS hi FROM ({query}) ranged").load().first()
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if ends[0] is None:
+        return reader.option("query", query).load()
+    return reader.options(dbtable=f"({query}) ranged", partitionColumn=by, lowerBound=str(ends[0]), upperBound=str(ends[1]), numPartitions=str(parts)).load()
 
 
 def inventory(spark: SparkSession, root: str, suffix: str = ".pdf") -> DataFrame:
@@ -45,9 +56,12 @@ def save_manifest(files: DataFrame, path: str, seed: int, source_path: str) -> N
 
 
 def saved_run(spark: SparkSession, path: str, numbers: list[str]) -> DataFrame:
-    """The figures of an earlier run as one row; those it hasn't are 0."""
+    """The figures of an earlier run as one row; those it hasn't are 0.
+
+    A run that can't be read, or isn't whole JSON, is an error when it is read and not a run of zeros.
+    """
     schema = ", ".join(f"`{n}` double" for n in numbers)
-    return spark.read.schema(schema).json(path, multiLine=True).select(*[F.coalesce(n, F.lit(0.0)).alias(n) for n in numbers])
+    return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").select(*[F.coalesce(n, F.lit(0.0)).alias(n) for n in numbers])
 
 
 def save_run(run: DataFrame, path: str) -> None:

@@ -155,3 +155,30 @@ def test_numbering_over_ranges(spark):
     got = pageplan.batches(rows, "v", 4).orderBy("ordinal").collect()
     assert [r["v"] for r in got] == sorted(values, key=lambda v: (v is not None, v or 0)) and [r["ordinal"] for r in got] == [*range(35)] and [r["batch"] for r in got] == [k // 4 for k in range(35)]
     assert pageplan.batches(rows.limit(0), "v", 4).count() == 0
+
+
+def test_similarity_equals_a_plain_matcher(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(3)
+    some = ["", None, "a", "a" * 150, "a" * 400, "ab" * 120, "x" * 199 + "y", *["".join(rng.choice("abc \n") for _ in range(rng.choice([3, 40, 250]))) for _ in range(12)]]
+    rows = [(a, b) for a in some for b in some]
+    got = spark.createDataFrame(rows, "a string, b string").select(texts.similarity("a", "b").alias("s")).collect()
+    assert [r["s"] for r in got] == [SequenceMatcher(None, a or "", b or "").ratio() for a, b in rows]
+
+
+def test_decoding_long_outputs(spark):
+    import random
+
+    from pagemill.functions.geometry import greedy_decode
+
+    rng = random.Random(4)
+    rows = [[[rng.choice([0.1, 0.5, 0.9]) for _ in range(4)] for _ in range(n)] for n in (0, 1, 2, 300, 300)]
+    want = []
+    for steps in rows:
+        ks = [v.index(max(v)) for v in steps]
+        kept = [i for i, k in enumerate(ks) if k and (i == 0 or k != ks[i - 1])]
+        want.append(("".join(" ab "[ks[i]] if ks[i] else "" for i in kept), sum(max(steps[i]) for i in kept) / len(kept) if kept else 0.0))
+    got = spark.createDataFrame([(r,) for r in rows], "steps array<array<double>>").select(greedy_decode(F.col("steps"), ["", "a", "b", " "]).alias("d")).select("d.*").collect()
+    assert [r["text"] for r in got] == [t for t, _ in want] and all(abs(r["confidence"] - c) < 1e-9 for r, (_, c) in zip(got, want, strict=True))

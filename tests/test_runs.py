@@ -52,6 +52,8 @@ def test_upsert(spark):
     twice = upsert.upserted(upsert.upserted(target, batch, now=F.lit(NOW)), batch, now=F.lit(NOW))
     assert sorted(map(str, twice.collect())) == sorted(map(str, got.values()))
     assert upsert.upserted(target, batch.limit(0), now=F.lit(NOW)).count() == 2
+    with pytest.raises(Exception, match="comes more than once"):
+        upsert.upserted(target, batch.unionByName(batch), now=F.lit(NOW)).collect()
     with pytest.raises(upsert.RepeatedKey):
         upsert.refuse_repeats(batch.unionByName(batch), "document_id")
     upsert.refuse_repeats(batch, "document_id")
@@ -120,12 +122,98 @@ def test_a_stream_in_several_batches(spark, sf, tmp_path):
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     stream = streams.file_stream(spark, str(tmp_path), "events.parquet", schema, files_per_batch=2)
     pages = stream.select(F.col("user_id").alias("job_id"), F.col("event_id").alias("page"), (F.col("event_type") == "error").alias("failed"))
-    kept = streams.VersionedTable(spark, str(tmp_path / "out"), streams.TRACKED)
-    got = {tuple(r) for r in streams.applied(streams.tracked(pages), kept, streams.newest, "update").select("job_id", "processed_pages", "failed_pages").collect()}
+    kept = streams.VersionedTable(spark, str(tmp_path / "out"), streams.TRACKED, "job_id", 3)
+    got = {tuple(r) for r in streams.applied(streams.tracked(pages), kept, streams.newest).select("job_id", "processed_pages", "failed_pages").collect()}
     want = events.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("e"))
     assert got == {tuple(r) for r in want.collect()} and kept.version >= 2
 
 
+def total(old, new):
+    return old.unionByName(new).groupBy("k").agg(F.sum("n").alias("n"))
+
+
+def test_a_table_goes_on_after_a_restart(spark, tmp_path):
+    incoming, out = tmp_path / "in", str(tmp_path / "out")
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n long")
+    frame([("a", 1), ("b", 1), ("c", 1), ("d", 1), (None, 1)]).write.parquet(str(incoming / "part.parquet"))
+    run = lambda: streams.applied(streams.file_stream(spark, str(incoming), "part.parquet", "k string, n long"), streams.VersionedTable(spark, out, "k string, n long", "k", 4), total)
+    assert {tuple(r) for r in run().collect()} == {("a", 1), ("b", 1), ("c", 1), ("d", 1), (None, 1)}
+    frame([("a", 5), ("e", 1), ("f", 1)]).write.mode("append").parquet(str(incoming / "part.parquet"))
+    want = {("a", 6), ("b", 1), ("c", 1), ("d", 1), ("e", 1), ("f", 1), (None, 1)}
+    assert {tuple(r) for r in run().collect()} == want and {tuple(r) for r in run().collect()} == want
+
+
+def test_a_batch_that_comes_again_or_broke_off(spark, tmp_path):
+    kept = streams.VersionedTable(spark, str(tmp_path), "k string, n long", "k", 4)
+    frame = lambda rows: spark.createDataFrame(rows, "k string, n long")
+    rows = lambda: {tuple(r) for r in streams.VersionedTable(spark, str(tmp_path), "k string, n long", "k", 4).read().collect()}
+    one = kept.apply(total)
+    one(frame([("a", 1), ("b", 2)]), 0)
+    one(frame([("a", 1), ("b", 2)]), 0)
+    assert rows() == {("a", 1), ("b", 2)}
+    before = {f for _, _, f in kept.newest()}
+    one(frame([("a", 1)]), 1)
+    assert rows() == {("a", 2), ("b", 2)} and len(before & {f for _, _, f in kept.newest()}) == 1  # the other part stays as it was
+    commit, kept.commit = kept.commit, None  # breaks off between writing and the log
+    with pytest.raises(TypeError):
+        one(frame([("a", 10)]), 2)
+    assert rows() == {("a", 2), ("b", 2)}
+    kept.commit = commit
+    one(frame([("a", 10)]), 2)
+    assert rows() == {("a", 12), ("b", 2)}
+    kept.update(lambda old, new: old.join(new, "k", "left_anti"), frame([("a", 0)]))
+    assert rows() == {("b", 2)} and kept.version == 3
+    with pytest.raises(ValueError):
+        streams.VersionedTable(spark, str(tmp_path / "n"), "k string, n long", "k", 64).update(lambda old, new: new.withColumn("k", F.lit("z")), frame([("a", 0)]))
+    kept.update(total, frame([]))
+    assert kept.version == 3
+
+
+def test_jobs_in_a_stream_know_what_they_wait_for(spark, tmp_path):
+    schema = "job_id long, kind string, page long, failed boolean, total_pages long"
+    add = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in.parquet"))
+
+    def states():
+        kept = streams.VersionedTable(spark, str(tmp_path / "out"), streams.STATES, "job_id")
+        got = streams.with_status(streams.applied(streams.job_states(streams.file_stream(spark, str(tmp_path), "in.parquet", schema)), kept, streams.newest))
+        return {r["job_id"]: (r["processed_pages"], r["failed_pages"], r["dropped_pages"], r["status"]) for r in got.collect()}
+
+    add([(1, "page", 0, False, None), (1, "submitted", None, None, 3), (2, "page", 0, False, None), (1, "page", 0, False, None)])
+    assert states() == {1: (1, 0, 0, "processing")}
+    add([(2, "submitted", None, None, 1), (1, "page", 1, True, None), (1, "dropped", 2, None, None)])
+    assert states() == {1: (2, 1, 1, "completed_with_errors"), 2: (0, 0, 0, "processing")}  # the page of job 2 came too early
+    add([(2, "page", 7, False, None)])
+    assert states()[2] == (1, 0, 0, "completed")
+
+
+def test_a_run_that_cannot_be_read_is_an_error(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('{"pages_per_sec_wall": 12.5, "page_la')
+    with pytest.raises(Exception, match="(?i)malformed|failfast|parse"):
+        tables.saved_run(spark, str(tmp_path / "cut.json"), ["pages_per_sec_wall"]).collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tables.saved_run(spark, str(tmp_path / "none.json"), ["pages_per_sec_wall"]).collect()
+
+
+def test_report_and_counters(spark):
+    old = spark.createDataFrame([(10.0, "1GiB / 2GiB")], "pages_per_sec_wall double, memory_peak string")
+    new = spark.createDataFrame([(9.0, None, 0.25)], "pages_per_sec_wall double, memory_peak string, page_latency_p50 double")
+    got = {r["label"]: r["change"] for r in metrics.report(old, new).collect()}
+    assert len(got) == 12 and got["Pages/sec (wall)"] == "10.0 → 9.0 (-10.0%)" and got["Memory"] == "1.0GiB → 0.0GiB (-100.0%)" and got["Page p50"] == "0.25s (new)" and got["GPU utilization"] == "0% (no change)"
+    runs = spark.createDataFrame([(True, True, 3), (True, False, 2), (False, False, 9), (None, None, None)], "ok boolean, saved boolean, pages int")
+    assert tuple(metrics.counters(runs, 2).first()) == (2, 2, 1, 5, 1.0, 2.5)
+    assert tuple(metrics.counters(runs.limit(0), 0).first()) == (0, 0, 0, 0, 0.0, 0.0)
+    none = spark.createDataFrame([(None, None)], "a double, b double")
+    assert tuple(none.agg(*metrics.time_shares(F.col("a"), F.col("b"))).first()) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_a_database_is_read_in_ranges(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    spark.range(100).selectExpr("cast(id as int) as N", "cast(id % 7 as string) as S").unionAll(spark.sql("select cast(null as int), 'x'")).write.format("jdbc").options(url=url, dbtable="t").save()
+    whole, parts = tables.database(spark, url, "SELECT * FROM t"), tables.database(spark, url, "SELECT * FROM t WHERE N IS NULL OR N >= 10", by="N", parts=4)
+    assert whole.count() == 101 and parts.count() == 91 and parts.rdd.getNumPartitions() == 4
+    assert tables.database(spark, url, "SELECT * FROM t WHERE N < 0", by="N").count() == 0
+
+
 def test_the_rest_works_without_the_training_data_operators(spark):
     import subprocess
     import sys
