@@ -25,7 +25,6 @@ cut into tokens at once, and a block of its own. Columns other than the named on
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +37,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagemill.llm.common import blocks, crc_mod, discard, mix, stored, table, trim, utf8
+from pagemill.llm.common import blocks, bucketed, crc_mod, discard, gathered, mix, stored, table, trim, utf8
 from pagemill.llm.dedup import BASE, power_table
 
-#: Bytes of text in a block, and bytes that are hashed at a time.
-BLOCK_BYTES, PIECE_BYTES = 16_000_000, 1_000_000
+#: Bytes of text in a block (at least, but for a task's last one; twice as many at most), and bytes that are hashed at a time.
+BLOCK_BYTES, PIECE_BYTES = 12_000_000, 1_000_000
 #: Tokens that a task scores at a time.
 CHUNK = 500_000
 SHARDS = 65_536
@@ -107,9 +106,9 @@ def to_blocks(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, task = 0, TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in gathered(batches, 1, BLOCK_BYTES):
             data, offsets = utf8(batch.column(1))
-            for start, end in blocks(np.diff(offsets), BLOCK_BYTES):
+            for start, end in blocks(np.diff(offsets), 2 * BLOCK_BYTES):
                 yield one(f"{task}-{number}", batch.slice(start, end - start), data, offsets[start : end + 1])
                 number += 1
                 trim()
@@ -546,10 +545,7 @@ def score(docs: DataFrame, held: str = "__held", id_col: str = "doc_id", text_co
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(held), F.lit(False)).alias("held"))
-    name = f"pagemill_brown_{uuid.uuid4().hex}"
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    to_blocks(rows).write.option("compression", "zstd").bucketBy(buckets, "block").saveAsTable(name)
-    made = spark.table(name)
+    made, name = bucketed(to_blocks(rows), "block", "brown_blocks")
     pairs = made.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
     groups = min(SHARDS, -(-pairs // PAIRS) or 1)
     deal = Deal(groups, -(-pairs // (groups * PAIRS)) or 1)

@@ -8,11 +8,11 @@ a lost executor costs a re-read and not a recomputation.
 from __future__ import annotations
 
 import ctypes
-import gc
 import re
 import tempfile
 import uuid
-from contextlib import suppress
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: At most so many rows of a few dozen bytes are broadcast; beyond it a join shuffles.
 BROADCAST_ROWS = 500_000
+#: Rows that go to a Python worker at a time.
+ROWS_OF_BATCH = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,16 +48,56 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = ROWS_OF_BATCH) -> Iterator[None]:
+    """What runs inside passes texts to Python in batches of so many rows, which bounds both sides' buffers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagemill/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
+    """Written once as a table bucketed by ``key`` in the warehouse and read back; its name.
+
+    A task writes at most a file for each row that it has, and rows are blocks of some megabytes.
+    Dropping the table removes its files.
+    """
+    spark = df.sparkSession
+    name = f"pagemill_{name}_{uuid.uuid4().hex}"
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name)
+    return spark.table(name), name
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until the column's bytes reach the limit."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete what :func:`stored` has written; nothing that is still to be read may depend on it."""
     for df in tables:
@@ -70,7 +112,6 @@ def trim() -> None:
     Python workers are used again by later tasks and stages; without this each keeps what its
     largest task needed, and an executor's memory only ever rises.
     """
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagemill.llm.common import anti_or_semi, blocks, mix, stored, table, trim, utf8
+from pagemill.llm.common import anti_or_semi, blocks, gathered, mix, stored, table, trim, utf8
 from pagemill.llm.links import components, stars, verified
 
 WORDS, SIMILARITY = 5, 0.8
@@ -52,7 +52,7 @@ SHORT, FEW = 24, 2
 RARE = 8
 #: Labelled shingles that a task counts, in the mean.
 SHINGLES = 500_000
-#: Bytes of text that a task hashes at a time (a longer text is hashed alone).
+#: Bytes of text that a task hashes at a time, twice as many at most (a longer text is hashed alone).
 BLOCK_BYTES = 1_000_000
 
 #: Of each byte: 0 left out (ASCII punctuation), 1 between words, 2 part of a word.
@@ -209,9 +209,9 @@ def aligned(first: bytes, second: bytes, least: float = SIMILARITY) -> float:
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for batch in batches:
+    for batch in gathered(batches, column, BLOCK_BYTES):
         data, offsets = utf8(batch.column(column))
-        for start, end in blocks(np.diff(offsets), BLOCK_BYTES):
+        for start, end in blocks(np.diff(offsets), 2 * BLOCK_BYTES):
             at = offsets[start : end + 1]
             yield batch.slice(start, end - start), data[at[0] : at[-1]], at - at[0]
         trim()
