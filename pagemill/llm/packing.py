@@ -7,10 +7,12 @@ bitmap of its sources and one of its clusters. For a piece, the search starts at
 it fits into and goes on to the next as long as bins are in conflict, so the tightest compatible
 bin is found; without any, a new bin is opened. Longer pieces go first.
 
-Pieces are dealt at random into groups of about ``GROUP`` pieces and each group is packed by one
-task, so a hot source or a large cluster is spread evenly and no task grows with the data. Only
-ids, lengths and digests move, never texts. Full pieces of long documents need no search: a bin of
-their own.
+Pieces are dealt by a hash into groups of about ``GROUP`` pieces and each group is packed by one
+task, so a hot source or a large cluster is spread evenly and no task grows with the data; the
+search is for the tightest bin of the group, and what that costs is in the README. Only ids,
+lengths and digests move, never texts, and texts are read once. Full pieces of long documents need
+no search: a bin of their own. Hash and order follow from what a row says and from its number among
+equal rows, so neither the table's partitions nor a task that runs again change a bin.
 
 Null and empty texts are one piece of one token (the end mark). A null source is no source, and
 conflicts with nothing; a null id keeps its row. Repeated rows are packed each, and are in one
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import table
+from pagemill.llm.common import stored, table
 
 #: Tokens in a bin, and pieces that a task packs together.
 CAPACITY, GROUP = 2048, 1500
@@ -79,10 +81,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(text)
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
-        (F.regexp_count(text, F.lit(r"\S+")) + 1).cast("long").alias("total"), F.monotonically_increasing_id().alias("row"),
-    )
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"), (F.regexp_count(text, F.lit(r"\S+")) + 1).cast("long").alias("total"))
+    rows = stored(rows.groupBy("id", "source", "cluster", "total").agg(F.count("*").alias("times")), "packing-rows")
+    rows = rows.select("id", "source", "cluster", "total", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("nth"))
+    said = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("id", "source", "cluster", "total", "nth")]
+    rows = rows.withColumn("row", F.md5(F.concat_ws("\x1f", *said)))
     whole = (F.col("total") / capacity).cast("long")
     pieces = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / capacity) - 1)
     rows = rows.select("id", "source", "cluster", "row", "total", whole.alias("whole"), F.explode(pieces).alias("piece"))
@@ -95,7 +98,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     rest = rest.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
 
     def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("row", kind="stable")
+        batch = batch.sort_values("row")
         names = batch["source"].astype(object).where(batch["source"].notna(), None).tolist()
         placed = best_fit(batch["n_tokens"].tolist(), names, batch["cluster"].tolist(), capacity)
         bins = [f"{key[0]}-{b}" for b, _ in placed]

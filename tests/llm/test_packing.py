@@ -77,3 +77,16 @@ def test_given_clusters(spark):
     docs = odd.documents(spark, rows)
     packed = packing.pack(docs, cluster_col="bucket").collect()  # one cluster: every document in a bin of its own
     assert len({r["bin"] for r in packed}) == 20
+
+
+def test_bins_do_not_depend_on_partitions(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    docs = docs.unionByName(docs.limit(3))  # repeated rows too
+
+    def bins(n):
+        out = defaultdict(list)
+        for r in packing.pack(docs.repartition(n)).collect():
+            out[r["bin"]].append((r["doc_id"], r["piece"], r["bin_offset"]))
+        return {b: sorted(v) for b, v in out.items()}
+
+    assert bins(3) == bins(5)
