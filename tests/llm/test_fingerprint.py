@@ -51,6 +51,14 @@ def test_few_edits_change_few_bits():
     assert near[0] > 0.9 and near[1] > 0.75 and near[0] >= near[1] > near[2] > near[3] and near[2] > far
 
 
+def test_bands_find_near_copies():
+    texts = [odd.varied(k, 500) for k in range(60)]
+    keys = fingerprint.band_keys(fingerprint.embed(texts))
+    share = lambda other: (keys == fingerprint.band_keys(fingerprint.embed(other))).any(1).mean()
+    assert share([odd.edited(t, k, 5) for k, t in enumerate(texts)]) >= 0.9
+    assert share(texts[1:] + texts[:1]) <= 0.05
+
+
 def test_odd_rows(spark):
     rows = [r for r in odd.rows() if r[0] is not None and r[0] != 111]
     got = {r["doc_id"]: r for r in fingerprint.fingerprints(odd.documents(spark, rows)).collect()}
@@ -62,6 +70,44 @@ def test_odd_rows(spark):
     assert len(one) == 1 and one[0]["near_next"] == 1
 
 
+def test_ids_of_any_kind_and_many_nulls(spark):
+    rows = [(f"k{k:03}", odd.text(k, 5 + k % 30)) for k in range(60)]
+    got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == {i: w[:2] for i, w in brute_next(rows).items()}
+    nulls = spark.createDataFrame([(None, t) for _, t in rows] + [(7, "x y z")], "doc_id long, text string")
+    assert fingerprint.fingerprints(nulls).count() == 61
+
+
+def plain_walk(text):
+    """The counters of a text, one character after another."""
+    points = [ord(c) for c in text]
+    width = fingerprint.ANCHOR
+    turn = lambda x, k: (x << k | x >> (64 - k)) & (2**64 - 1) if k else x
+    one = {p: int(fingerprint.mix(np.array([p]), 3)[0]) for p in set(points)}
+    hashes = []
+    for i in range(len(points)):
+        h = 0
+        for k in range(min(width, i + 1)):
+            h ^= turn(one[points[i - k]], k)
+        hashes.append(int(fingerprint.mix(np.array([h], np.uint64).view(np.int64), 5)[0]))
+    cuts = [0] + [i + 1 for i, h in enumerate(hashes) if h % fingerprint.SPACING == 0 and width <= i + 1 < len(points)]
+    starts = [s for a, b in zip(cuts, [*cuts[1:], len(points)], strict=True) for s in range(a, b, fingerprint.LONGEST)]
+    sums = [0] * fingerprint.BITS
+    for a, b in zip(starts, [*starts[1:], len(points)], strict=True):
+        at, step = a, hashes[a - 1] >> 20 & fingerprint.PERIOD - 1 if a else 0
+        while at < b:
+            c = one[points[at]] >> 40 & 255
+            sums[step % fingerprint.BITS] += int(fingerprint.SIGNS[step][c])
+            at += int(fingerprint.MOVES[step][c])
+            step = (step + 1) % fingerprint.PERIOD
+    return np.packbits(np.array(sums) > 0)
+
+
+def test_fingerprints_equal_plain_walks():
+    texts = ["a", "ab", odd.text(3, 40), odd.varied(4, 300), "x" * 9000, "é🎈 " * 60, odd.text(5, 3000)]
+    assert (fingerprint.embed(texts) == np.array([plain_walk(t) for t in texts])).all()
+
+
 @given(st.text("abc", max_size=12), st.text("abc", max_size=12))
 def test_edit_distance(a, b):
     row = list(range(len(b) + 1))
