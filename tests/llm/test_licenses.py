@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import re
 import textwrap
+from collections import Counter
+
+import zstandard
 
 from pagemill.llm import licenses
 from pagemill.llm.common import table
@@ -31,6 +34,21 @@ def test_wording_differences_are_listed():
     assert found("A permission slip is needed for the warranty of this copyright.") == []
 
 
+def test_ranking_equals_plain_compression_with_each_template():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        words = [w.lower() for w in licenses.WORD.findall("Some words before. " + text)]
+        data = " ".join(words).encode()
+        plain = len(zstandard.ZstdCompressor(level=licenses.LEVEL).compress(data))
+        want = []
+        for k, t in enumerate(scanner.known):
+            given = zstandard.ZstdCompressionDict(" ".join(t.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            lacking = sum((Counter(t.words) - Counter(words)).values())
+            if lacking <= int(licenses.ALLOWED * len(t.words) + 1e-9):
+                want.append((plain - len(zstandard.ZstdCompressor(level=licenses.LEVEL, dict_data=given).compress(data)), k))
+        assert scanner.saved(words) == sorted(want, key=lambda x: (-x[0], x[1])) and name in [scanner.known[k].name for _, k in want]
+
+
 def test_every_template_is_found_whole_however_it_is_wrapped():
     for name, text in licenses.TEMPLATES.items():
         shapes = [text, *("\n".join(textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)) for width in (20, 40, 50, 60, 72, 80))]
