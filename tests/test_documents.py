@@ -182,3 +182,12 @@ def test_decoding_long_outputs(spark):
         want.append(("".join(" ab "[ks[i]] if ks[i] else "" for i in kept), sum(max(steps[i]) for i in kept) / len(kept) if kept else 0.0))
     got = spark.createDataFrame([(r,) for r in rows], "steps array<array<double>>").select(greedy_decode(F.col("steps"), ["", "a", "b", " "]).alias("d")).select("d.*").collect()
     assert [r["text"] for r in got] == [t for t, _ in want] and all(abs(r["confidence"] - c) < 1e-9 for r, (_, c) in zip(got, want, strict=True))
+
+
+def test_numbers_of_hot_keys_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(pageplan, "ROWS_OF_PART", 50)
+    values = [None] * 150 + [7] * 300 + [*range(100)] + [7.5]
+    rows = spark.createDataFrame([(k, v if v is None else float(v)) for k, v in enumerate(values)], "k int, v double").repartition(5)
+    got = sorted((r["ordinal"], r["v"]) for r in pageplan.numbered(rows, "v").collect())
+    assert [o for o, _ in got] == [*range(len(values))]
+    assert [v for _, v in got] == sorted((v for v in values), key=lambda v: (v is not None, v or 0))
