@@ -8,8 +8,11 @@ of each language, chosen by hash of the id, from each of which windows are drawn
 Every language that a training row names is learned, however many there are.
 
 Texts that are null or have no letter are ``und`` with score 0. With no labelled text every text
-is ``und``. Repeated rows get the same prediction; an empty table gives an empty result; the
-language column is read for training only, further columns not at all.
+is ``und``. Of equally probable languages the one that is first in the alphabet is predicted.
+Repeated rows get the same prediction; an empty table gives an empty result; the language column is
+read for training only, further columns not at all. Very long texts are read whole when they are
+predicted; in training each text of the sample gives ``WINDOWS_OF_TEXT`` windows, which with
+``PER_LANGUAGE`` is the sample's bound.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ PER_LANGUAGE, WINDOWS_OF_TEXT = 400, 4
 #: A batch has BATCH windows, and at least LEAST_OF_EACH of each language.
 STEPS, BATCH, LEAST_OF_EACH, RATE = 260, 128, 2, 0.02
 #: Windows read together (fewer for more than USUAL languages), and a task's bytes at a time.
-LANES, USUAL, BLOCK_BYTES = 2048, 64, 8_000_000
+LANES, USUAL, BLOCK_BYTES = 1024, 64, 2_000_000
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -238,20 +241,20 @@ def predict(network: Network, text: Column, spark: SparkSession) -> Column:
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value
         for batch in batches:
-            texts = [t if isinstance(t, str) and LETTER.search(t) else "" for t in batch]
-            if not own.languages:
-                texts = [""] * len(texts)
-            raw = [t.encode("utf-8") for t in texts]
-            p = np.zeros((len(raw), max(1, len(own.languages))))
-            start, held = 0, 0
-            for i in range(len(raw) + 1):
-                if i > start and (i == len(raw) or held + len(raw[i]) > BLOCK_BYTES):
-                    p[start:i] = pooled(own, raw[start:i])
-                    start, held = i, 0
-                if i < len(raw):
-                    held += len(raw[i])
+            known, p = np.zeros(len(batch), bool), np.zeros((len(batch), max(1, len(own.languages))))
+            start, held, raw = 0, 0, []
+            for i, text in enumerate(batch):
+                known[i] = bool(own.languages) and isinstance(text, str) and LETTER.search(text) is not None
+                data = text.encode("utf-8") if known[i] else b""
+                if raw and held + len(data) > BLOCK_BYTES:
+                    p[start:i] = pooled(own, raw)
+                    start, held, raw = i, 0, []
+                raw.append(data)
+                held += len(data)
+            if raw:
+                p[start:] = pooled(own, raw)
+            del raw
             best = p.argmax(1)
-            known = np.array([*map(bool, texts)], bool)
             names = np.array([*own.languages, UNDETERMINED], object)
             trim()
             yield pd.DataFrame({"lang_pred": names[np.where(known, best, len(own.languages))], "score": np.where(known, np.minimum(p.max(1), 1.0), 0.0)})

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -39,6 +40,42 @@ def test_held_out_accuracy_and_contract(spark, sf):
     assert sum(r["lang_pred"] == docs[r["doc_id"]][1] for r in held) >= 0.95 * len(held)
 
 
+def plain_pooled(net, text):
+    """Mean probabilities of a text, one byte and one number after another."""
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    h = net.forth.n.shape[0]
+
+    def states(gru, codes):
+        own, out = [0.0] * h, []
+        for c in codes:
+            z = [sigmoid(gru.x[c][k] + sum(own[i] * gru.zr[i][k] for i in range(h))) for k in range(h)]
+            r = [sigmoid(gru.x[c][h + k] + sum(own[i] * gru.zr[i][h + k] for i in range(h))) for k in range(h)]
+            n = [math.tanh(gru.x[c][2 * h + k] + sum(r[i] * own[i] * gru.n[i][k] for i in range(h))) for k in range(h)]
+            own = [n[k] + z[k] * (own[k] - n[k]) for k in range(h)]
+            out.append(own)
+        return out
+
+    total = [0.0] * len(net.languages)
+    for a in range(0, len(text), langid.WINDOW):
+        codes = [*text[a : a + langid.WINDOW]]
+        real = len(codes)
+        codes += [256] * (langid.WINDOW - real)
+        forth, back = states(net.forth, codes), states(net.back, codes[::-1])[::-1]
+        for f, b in zip(forth[:real], back[:real], strict=True):
+            both = [*f, *b]
+            logits = [net.bias[k] + sum(both[i] * net.out[i][k] for i in range(2 * h)) for k in range(len(total))]
+            top = max(logits)
+            each = [math.exp(x - top) for x in logits]
+            total = [t + e / sum(each) for t, e in zip(total, each, strict=True)]
+    return [t / len(text) for t in total]
+
+
+def test_predictions_equal_a_plain_forward_pass():
+    net = langid.Network(["a", "b", "c"], hidden=4, seed=5)
+    texts = [odd.text(k, n).encode() for k, n in enumerate([1, 12, 40])] + ["é漢字 Ω".encode()]
+    assert np.allclose(langid.pooled(net, texts), [plain_pooled(net, t) for t in texts], atol=1e-5)
+
+
 def test_whole_texts_count():
     net = langid.Network(["a", "b"], seed=3)
     texts = [odd.text(k, n).encode() for k, n in enumerate([1, 5, 40, 700])]
