@@ -97,3 +97,27 @@ def ring_length(points: Column) -> Column:
 def unclip_offset(points: Column, ratio: float = 1.5) -> Column:
     """How far a text region's polygon is moved outwards; 0 for a polygon without an area."""
     return F.coalesce(F.try_divide(ring_area(points) * ratio, ring_length(points)), F.lit(0.0))
+
+
+def ordered_corners(points: Column) -> Column:
+    """The four [x, y] of a rectangle as upper left, upper right, lower right, lower left.
+
+    The two of smaller x are the left ones; of each side the one of smaller y is the upper one, and
+    of two at the same height the later one in the order of x.
+    """
+    keyed = F.array_sort(F.transform(points, lambda p, i: F.struct(p[0].alias("x"), i.alias("i"), p.alias("p"))))
+    a, b, c, d = (F.get(keyed, k)["p"] for k in range(4))
+    left, right = b[1] > a[1], d[1] > c[1]
+    pick = lambda first, yes, no: F.when(first, yes).otherwise(no)
+    return F.array(pick(left, a, b), pick(right, c, d), pick(right, d, c), pick(left, b, a))
+
+
+def short_side(corners: Column) -> Column:
+    """The shorter side of a rectangle given by its corners in order."""
+    side = lambda p, q: F.sqrt(F.pow(p[0] - q[0], F.lit(2)) + F.pow(p[1] - q[1], F.lit(2)))
+    return F.least(side(corners[0], corners[1]), side(corners[1], corners[2]))
+
+
+def scaled_corners(corners: Column, width: Column, height: Column, to_width: Column, to_height: Column) -> Column:
+    """Corners found on a map of one size, in whole pixels of the page that it stands for."""
+    return F.transform(corners, lambda p: F.array(clipped(p[0] / width, to_width, to_width), clipped(p[1] / height, to_height, to_height)))

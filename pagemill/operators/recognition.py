@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.json import merged
@@ -70,3 +70,12 @@ def with_second_pass(results: DataFrame, again: Callable[[DataFrame], DataFrame]
     better = again(blank.select(key)).where(~is_blank(F.col("full_text")))
     better = better if dpi is None else marked(better, dpi)
     return results.where(~is_blank(F.col("full_text"))).unionByName(better, allowMissingColumns=True)
+
+
+def kept_regions(regions: DataFrame, by: list[str], order: str, least_score: float = 0.6, most: int = 1000) -> DataFrame:
+    """Text regions (side, score, side_after) that are read: of each page the first ``most`` in their
+    order, then those with a short side of at least 3, enough of a score, and a short side of at
+    least 5 after they were widened."""
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    early = regions.withColumn("__nth", nth).where(F.col("__nth") <= most)
+    return early.where((F.col("side") >= 3) & (F.col("score") >= least_score) & (F.col("side_after") >= 5)).drop("__nth")

@@ -9,7 +9,7 @@ from pagemill.functions.json import merged
 from pagemill.operators import accuracy, results
 from pagemill.operators.jobs import missing_pages as not_arrived
 from pagemill.operators.pageplan import batches_within
-from pagemill.operators.recognition import with_second_pass
+from pagemill.operators.recognition import kept_regions, with_second_pass
 from pagemill.operators.upsert import staged, upserted
 from pagemill.plans.catalogue import registered
 from pagemill.sources.tables import table
@@ -239,3 +239,26 @@ def ctc_decode(spark, sf):
     steps = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice(F.col("embedding").cast("array<double>"), i * 4 + 1, F.lit(4)))
     rows = table(spark, sf, "embeddings").select("vec_id", geometry.greedy_decode(steps, ["", "a", "b", "c"]).alias("d"))
     return rows.select("vec_id", "d.text", F.round("d.confidence", 6).alias("confidence"))
+
+
+QUADS = "[[embedding[1], embedding[2]], [embedding[3], embedding[4]], [embedding[5], embedding[6]], [embedding[7], embedding[8]]]"
+
+
+@registered(f"""WITH q AS (SELECT vec_id, list_transform({QUADS}, lambda p: [p[1]::DOUBLE, p[2]::DOUBLE]) AS p FROM embeddings),
+s AS (SELECT vec_id, list_transform(list_sort(list_transform(range(1, 5), lambda i: {{'x': p[i][1], 'i': i}})), lambda e: p[e.i]) AS p FROM q),
+c AS (SELECT vec_id, CASE WHEN p[2][2] > p[1][2] THEN p[1] ELSE p[2] END AS a, CASE WHEN p[4][2] > p[3][2] THEN p[3] ELSE p[4] END AS b, CASE WHEN p[4][2] > p[3][2] THEN p[4] ELSE p[3] END AS c, CASE WHEN p[2][2] > p[1][2] THEN p[2] ELSE p[1] END AS d FROM s)
+SELECT vec_id, round(a[1], 6) AS left_x, round(b[2], 6) AS right_y, round(c[1], 6) AS low_x, round(d[2], 6) AS low_y, round(least(sqrt((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2), sqrt((b[1] - c[1]) ** 2 + (b[2] - c[2]) ** 2)), 6) AS side,
+least(greatest(round_even(c[1] / 2.0 * 640, 0)::INTEGER, 0), 640) AS pixel_x FROM c""")
+def box_corners(spark, sf):
+    v = F.col("embedding").cast("array<double>")
+    points = F.array(*[F.array(v[2 * k], v[2 * k + 1]) for k in range(4)])
+    rows = table(spark, sf, "embeddings").select("vec_id", geometry.ordered_corners(points).alias("c"))
+    pixels = geometry.scaled_corners(F.col("c"), F.lit(2.0), F.lit(2.0), F.lit(640), F.lit(480))
+    named = {"left_x": F.col("c")[0][0], "right_y": F.col("c")[1][1], "low_x": F.col("c")[2][0], "low_y": F.col("c")[3][1], "side": geometry.short_side(F.col("c"))}
+    return rows.select("vec_id", *[F.round(x, 6).alias(n) for n, x in named.items()], pixels[2][0].alias("pixel_x"))
+
+
+@registered("""SELECT p_brand, p_partkey FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM part) WHERE nth <= 50 AND p_size >= 3 AND p_retailprice / 1500 >= 0.6 AND p_size * 1.5 >= 9""")
+def box_filters(spark, sf):
+    regions = table(spark, sf, "part").select("p_brand", "p_partkey", F.col("p_size").alias("side"), (F.col("p_retailprice") / 1500).alias("score"), (F.col("p_size") * 1.5 - 4).alias("side_after"))
+    return kept_regions(regions, ["p_brand"], "p_partkey", most=50).select("p_brand", "p_partkey")
