@@ -18,7 +18,7 @@ connected component, named by its smallest id.
 Null texts count as empty, and texts without a word are copies of each other only if they are
 equal. A text of fewer than five words is one shingle. Rows with a null id take no part and have a
 null class. Repeated rows are in the same class; an empty table gives an empty result; only the
-two named columns are read.
+two named columns are read. A very long text is hashed whole, alone in its task's memory.
 
 Picks are drawn without repeats, so of u shingles that two texts have, m of them both, all picks of
 a table are shared with probability C(m, PICKED) / C(u, PICKED): for long texts at exactly the least
@@ -327,7 +327,8 @@ def across(opened: DataFrame, texts: DataFrame) -> DataFrame:
     A shingle that at most RARE of the open documents have is rare. Two documents match in at most
     as many shingles as the smaller number of frequent ones that either has, and the rare ones
     that both have. Where the frequent ones alone could be enough, documents of one bucket are
-    paired; where rare ones are needed, the documents that share them are, at most RARE for each.
+    paired if their numbers of shingles allow it; where rare ones are needed, the documents that
+    share them are, at most RARE for each.
     The largest component of a bucket isn't paired with itself, so what is joined is each other
     member with all members.
     """
@@ -344,7 +345,10 @@ def across(opened: DataFrame, texts: DataFrame) -> DataFrame:
     sizes = can.groupBy("bucket", "class").agg(F.count("*").alias("k"))
     main = sizes.groupBy(F.col("bucket").alias("of")).agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("of", "main")
     strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *renamed)
-    frequent = strays.join(can, "bucket").where((F.col("class") != F.col("_class")) & (lacking <= 0)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+    # Similar texts have similar numbers of shingles, so a bucket's members meet within bands of them.
+    band = lambda n: F.floor(F.log(F.col(n)) / (-np.log(SIMILARITY) * (1 + 1e-6)))
+    near = strays.withColumn("band", F.explode(F.array(*[band("_n") + k for k in (-1, 0, 1)])))
+    frequent = near.join(can.withColumn("band", band("n")), ["bucket", "band"]).where((F.col("class") != F.col("_class")) & (lacking <= 0)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
 
     both = counts.where("other is not null and id <> other").groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("_id")).agg(F.sum("n").alias("s"))
     both = both.join(docs, "id").join(docs.select(*renamed), "_id").where((F.col("class") != F.col("_class")) & (lacking <= F.col("s")))
