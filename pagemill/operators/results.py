@@ -18,6 +18,11 @@ def parsed_jobs(texts: DataFrame, column: str = "value") -> DataFrame:
     return texts.select(F.from_json(F.col(column), JOB).alias("job")).select("job.*")
 
 
+def readable(jobs: DataFrame) -> DataFrame:
+    """Jobs whose answer could be read and names its job; a broken answer costs only its own job."""
+    return jobs.where(F.col("job_id").isNotNull() & F.col("results").isNotNull())
+
+
 def page_rows(jobs: DataFrame) -> DataFrame:
     """A row for each page: job_id, ordinal and path of its document, page and the page's fields."""
     files = jobs.select("job_id", F.posexplode("results").alias("ordinal", "path", "pages"))
@@ -79,3 +84,11 @@ def by_suffix(targets: DataFrame, files: DataFrame) -> DataFrame:
     same = first(files.withColumn("target", F.col("path")), ["target"]).withColumnRenamed("file", "by_path")
     found = asked.join(same, "target", "left").join(ends, "name", "left").select("target", F.coalesce("by_path", "by_name").alias("file"))
     return targets.join(found, "target", "left").select(*targets.columns, "file.*")
+
+
+def texts_for(targets: DataFrame, documents: DataFrame) -> DataFrame:
+    """Targets (target) with the text of the document (path, ordinal, full_text) that answers to each.
+
+    Null where no document answers, empty where the one that does has no text.
+    """
+    return by_suffix(targets, documents.select("path", "ordinal", "full_text")).drop("path")

@@ -149,6 +149,27 @@ def era_rollup(spark, sf):
     return found.withColumns({c: F.round(c, 6) for c in ("first_confidence", "second_confidence", "similarity")})
 
 
+@registered(f"""WITH {DOCS} SELECT d.doc_id, x.full_text FROM documents d LEFT JOIN docs x ON x.conv_id = d.doc_id""")
+def doc_text_lookup(spark, sf):
+    """Texts of documents looked up by file name: null where there is none, empty where it has no text."""
+    name = lambda folder, c: F.concat(F.lit(folder), F.lpad(F.col(c).cast("string"), 9, "0"), F.lit(".pdf"))
+    docs = results.documents_of(turns(spark, sf), ["conv_id"]).select(name("/data/", "conv_id").alias("path"), F.col("conv_id").alias("ordinal"), "full_text")
+    targets = table(spark, sf, "documents").select("doc_id", name("/other/", "doc_id").alias("target"))
+    return results.texts_for(targets, docs).select("doc_id", "full_text")
+
+
+@registered("""SELECT conv_id::VARCHAR AS job_id, turn::INTEGER AS page, text FROM conversations WHERE role <> 'system' AND conv_id % 7 <> 0""")
+def readable_jobs(spark, sf):
+    """Answers as JSON, each seventh cut off: what can be read is, page by page."""
+    rows = table(spark, sf, "conversations")
+    page = F.struct(F.when(F.col("role") == "system", "error").otherwise("success").alias("status"), F.array(F.struct(F.col("text").alias("text"), F.lit(0.9).alias("confidence"))).alias("text_lines"))
+    jobs = rows.groupBy("conv_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("turn").cast("string"), page))).alias("pages"))
+    answer = F.to_json(F.struct(F.col("conv_id").cast("string").alias("job_id"), F.lit("completed").alias("status"), F.create_map(F.lit("/data/a.pdf"), F.col("pages")).alias("results")))
+    cut = F.when(F.col("conv_id") % 7 == 0, F.substring(answer, 1, 20)).otherwise(answer)
+    found = results.summary(results.page_rows(results.readable(results.parsed_jobs(jobs.select(cut.alias("value"))))))
+    return found.where("status = 'success'").select("job_id", "page", "text")
+
+
 SIDED = """WITH rows AS (SELECT o_orderkey % 7 + 1 AS a, o_orderkey % 5 + 1 AS b, (o_orderkey % 10) / 10.0 AS c, (o_orderkey % 9) / 9.0 AS d, o_orderkey % 11 = 0 AS bad FROM orders)"""
 
 

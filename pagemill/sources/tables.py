@@ -49,6 +49,12 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(path, multiLine=True).select(F.posexplode("host_paths").alias("ordinal", "path"))
 
 
+def usable_manifest(listed: DataFrame, inventory: DataFrame) -> DataFrame:
+    """A saved sample, or no rows if the first file that it names is gone."""
+    first = listed.where("ordinal = 0").join(inventory.select("path"), "path", "left_semi").select(F.lit(True).alias("there"))
+    return listed.crossJoin(F.broadcast(first.limit(1))).drop("there")
+
+
 def save_manifest(files: DataFrame, path: str, seed: int, source_path: str) -> None:
     """Write a sample (of a bounded number of files) as one JSON row below ``path``."""
     row = files.agg(F.lit(seed).alias("seed"), F.lit(source_path).alias("source_path"), F.count("*").cast("int").alias("count"), F.array_sort(F.collect_list("path")).alias("host_paths"))
@@ -70,7 +76,7 @@ def save_run(run: DataFrame, path: str) -> None:
 
 def answers(spark: SparkSession, path: str) -> DataFrame:
     """Saved JSON answers of a recognition service, one in each file: rows (path, value)."""
-    return spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("path"), "value")
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
 
 
 def letters(path: str) -> list[str]:

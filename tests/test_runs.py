@@ -112,6 +112,15 @@ def test_files_manifests_and_runs(spark, tmp_path):
     assert tables.manifest(spark, str(tmp_path / "m")).count() == 2
     tables.save_manifest(files.limit(0), str(tmp_path / "n"), 42, "src")
     assert tables.manifest(spark, str(tmp_path / "n")).count() == 0
+    listed = tables.manifest(spark, str(tmp_path / "m"))
+    assert tables.usable_manifest(listed, files).count() == 2
+    assert tables.usable_manifest(listed, files.where(~F.col("path").endswith(": 2.pdf"))).count() == 0  # the first one is gone
+    assert tables.usable_manifest(listed, files.where(~F.col("path").endswith("x.pdf"))).count() == 2
+    (tmp_path / "letters").write_text("a\n b\n", encoding="utf-8")
+    assert tables.letters(str(tmp_path / "letters")) == ["blank", "a", " b", " "]
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers/1.json").write_text('{"job_id": "j",\n "status": "completed"}')
+    assert [r["value"].startswith('{"job_id"') for r in tables.answers(spark, str(tmp_path / "answers")).collect()] == [True]
     tables.save_run(spark.range(1).select(F.lit(5.0).alias("pages")), str(tmp_path / "r"))
     assert tuple(tables.saved_run(spark, str(tmp_path / "r"), ["pages", "missing"]).first()) == (5.0, 0.0)
 
