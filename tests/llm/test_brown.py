@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.llm import brown
@@ -37,13 +38,17 @@ def compare(got, rows):
     assert np.allclose([r[5] for r in got], [r[5] for r in want])
 
 
-def test_counts_and_base_scores_of_a_table(spark, sf):
+@pytest.fixture(scope="module")
+def scored(spark, sf):
+    return brown.query(spark, sf).collect()
+
+
+def test_counts_and_base_scores_of_a_table(spark, sf, scored):
     rows = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
-    got = brown.query(spark, sf).collect()
-    compare(got, rows)
-    held = [r for r in got if r["held_out"]]
+    compare(scored, rows)
+    held = [r for r in scored if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in scored)
 
 
 def test_odd_rows(spark):
@@ -72,7 +77,7 @@ def key_of(word):
     return int(brown.tokens_of(data, np.array([0, len(data)]))[0][0])
 
 
-def test_scores_equal_those_of_a_count_in_plain_python(spark, sf):
+def test_scores_equal_those_of_a_count_in_plain_python(spark, sf, scored):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     rows = [(r["doc_id"], tokens(r["text"])) for r in docs.collect()]
     model, words = fitted(spark, docs, brown.Deal(3, 2))
@@ -106,7 +111,7 @@ def test_scores_equal_those_of_a_count_in_plain_python(spark, sf):
                 total += math.log10(sum(p[k] * (kinds[k] / (mass[k] + kinds[k]) if mass[k] else 1) for k in range(n)))
         return total
 
-    got = {r["doc_id"]: r["score"] for r in brown.query(spark, sf).collect()}
+    got = {r["doc_id"]: r["score"] for r in scored}
     assert all(abs(got[i] - of_text(own)) < 1e-6 * len(own) for i, own in rows)
     for a in [*range(n + 1), None]:  # all words, the unknown one and the end
         p = move(a)
