@@ -202,7 +202,7 @@ def suffix_lookup(spark, sf):
     return by_suffix(asked, files.select("path", F.col("page_id").alias("ordinal"), F.col("page_id").alias("file_id")))
 
 
-@registered()
+@registered("SELECT url AS path, page_id FROM pages ORDER BY md5(url || '42') NULLS FIRST, url NULLS FIRST, page_id LIMIT 100")
 def seeded_sample(spark, sf):
-    """A top-k report: 100 files by the hash of their name and a seed."""
+    """A top-k report: 100 files by the digest of their name and a seed."""
     return sampled(table(spark, sf, "pages").select(F.col("url").alias("path"), "page_id"), 100)

@@ -40,8 +40,8 @@ def inventory(spark: SparkSession, root: str, suffix: str = ".pdf") -> DataFrame
 
 
 def sampled(files: DataFrame, count: int, seed: int = 42) -> DataFrame:
-    """``count`` files at most, the same ones for the same seed."""
-    return files.orderBy(F.xxhash64("path", F.lit(seed)), "path").limit(count)
+    """``count`` files at most, those of the least digests of path and seed; the same ones for the same seed."""
+    return files.orderBy(F.md5(F.concat("path", F.lit(str(seed)))), *files.columns).limit(count)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -49,4 +49,4 @@ def test_query_agrees_with_its_sql(spark, sf, duck, name):
 
 
 def test_queries_without_sql_are_few():
-    assert set(registry.QUERIES) - set(registry.ORACLES) == {"seeded_sample", "text_similarity"}
+    assert set(registry.QUERIES) - set(registry.ORACLES) == {"text_similarity"}
