@@ -321,8 +321,8 @@ def still_open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return own.join(split, F.col("bucket") == F.col("of"), "left_semi")
 
 
-def across(opened: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that can reach SIMILARITY; ``texts`` are (id, text).
+def across(opened: DataFrame, texts: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that can reach SIMILARITY; ``texts`` are (id, text), ``sketch`` (id, n, buckets).
 
     A shingle that at most RARE of the open documents have is rare. Two documents match in at most
     as many shingles as the smaller number of frequent ones that either has, and the rare ones
@@ -330,27 +330,30 @@ def across(opened: DataFrame, texts: DataFrame) -> DataFrame:
     paired if their numbers of shingles allow it; where rare ones are needed, the documents that
     share them are, at most RARE for each.
     The largest component of a bucket isn't paired with itself, so what is joined is each other
-    member with all members.
+    member with all members. A pair comes out of the first bucket only that both are in.
     """
     total = opened.select("id", "n").distinct().agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = stored(rare_shingles(texts, max(1, -(-total // SHINGLES))), "order-rare")
     rare = counts.where("other is null").groupBy("id").agg(F.sum("n").alias("r"))
     docs = opened.select("id", "n", "class").distinct().join(rare, "id", "left")
-    docs = stored(docs.select("id", "n", "class", (F.col("n") - F.coalesce("r", F.lit(0))).alias("most")), "order-bounds")
+    docs = docs.join(sketch, ["id", "n"]).select("id", "n", "class", (F.col("n") - F.coalesce("r", F.lit(0))).alias("most"), "buckets")
+    docs = stored(docs, "order-bounds")
     least = SIMILARITY / (1 + SIMILARITY)
     lacking = least * (F.col("n") + F.col("_n")) - F.least("most", "_most") - 1e-9  # matches that rare shingles must give
-    renamed = [F.col(c).alias(f"_{c}") for c in ("id", "n", "class", "most")]
+    renamed = [F.col(c).alias(f"_{c}") for c in ("id", "n", "class", "most", "buckets")]
 
-    can = opened.select("bucket", "id").join(docs.where(F.col("most") >= SIMILARITY * F.col("n") - 1e-9), "id")
+    can = opened.select("bucket", "id", "n").join(docs.where(F.col("most") >= SIMILARITY * F.col("n") - 1e-9), ["id", "n"])
     sizes = can.groupBy("bucket", "class").agg(F.count("*").alias("k"))
     main = sizes.groupBy(F.col("bucket").alias("of")).agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("of", "main")
     strays = can.join(main, (F.col("bucket") == F.col("of")) & (F.col("class") != F.col("main"))).select("bucket", *renamed)
     # Similar texts have similar numbers of shingles, so a bucket's members meet within bands of them.
+    first = F.col("bucket") == F.array_min(F.array_intersect("buckets", "_buckets"))
     band = lambda n: F.floor(F.log(F.col(n)) / (-np.log(SIMILARITY) * (1 + 1e-6)))
     near = strays.withColumn("band", F.explode(F.array(*[band("_n") + k for k in (-1, 0, 1)])))
-    frequent = near.join(can.withColumn("band", band("n")), ["bucket", "band"]).where((F.col("class") != F.col("_class")) & (lacking <= 0)).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+    frequent = near.join(can.withColumn("band", band("n")), ["bucket", "band"]).where((F.col("class") != F.col("_class")) & (lacking <= 0) & first).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
 
     both = counts.where("other is not null and id <> other").groupBy(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("_id")).agg(F.sum("n").alias("s"))
+    docs, renamed = docs.drop("buckets"), renamed[:-1]
     both = both.join(docs, "id").join(docs.select(*renamed), "_id").where((F.col("class") != F.col("_class")) & (lacking <= F.col("s")))
     return frequent.unionByName(both.select(F.col("id").alias("a"), F.col("_id").alias("b"))).distinct()
 
@@ -371,7 +374,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comps = stored(components(links), "order-classes")
     opened = stored(still_open(members, comps), "order-open")
     ids = opened.select("id").distinct()
-    more = stored(across(opened, named(alone, ids)).join(pairs, ["a", "b"], "left_anti"), "order-across")
+    more = stored(across(opened, named(alone, ids), sketch.select("id", "n", "buckets")).join(pairs, ["a", "b"], "left_anti"), "order-across")
     more = stored(verified(more, content_of(alone, more), aligned, SIMILARITY).select("a", "b"), "order-links")
     if not more.isEmpty():
         comps = stored(components(links.unionByName(more)), "order-classes")
