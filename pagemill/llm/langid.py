@@ -35,7 +35,7 @@ PER_LANGUAGE, WINDOWS_OF_TEXT = 400, 4
 #: A batch has BATCH windows, and at least LEAST_OF_EACH of each language.
 STEPS, BATCH, LEAST_OF_EACH, RATE = 260, 128, 2, 0.02
 #: Windows read together (fewer for more than USUAL languages), and a task's bytes at a time.
-LANES, USUAL, BLOCK_BYTES = 1024, 64, 2_000_000
+LANES, USUAL, BLOCK_BYTES = 2048, 64, 2_000_000
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 
