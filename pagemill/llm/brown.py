@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagemill.llm.common import blocks, bucketed, crc_mod, discard, gathered, mix, stored, table, trim, utf8
+from pagemill.llm.common import blocks, bucketed, crc_mod, discard, gathered, mix, stored, table, trim, unbucketed, utf8
 from pagemill.llm.dedup import BASE, power_table
 
 #: Bytes of text in a block (at least, but for a task's last one; twice as many at most), and bytes that are hashed at a time.
@@ -581,7 +581,7 @@ def score(docs: DataFrame, held: str = "__held", id_col: str = "doc_id", text_co
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     texts = made.select("block", "ids", "held", "sizes", "tokens", "keys")
     joined = stored(texts.groupBy("block").cogroup(answered.groupBy("of_block")).applyInPandas(judge, schema), "brown-scores")
-    spark.sql(f"DROP TABLE {name}")
+    unbucketed(made, name)
     discard(answered)
     return joined.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))).withColumnRenamed("id", id_col)
 

@@ -72,17 +72,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
-    """Written once as a table bucketed by ``key`` in the warehouse and read back; its name.
+    """Written once to the shared folder as a table bucketed by ``key`` and read back; its name.
 
     A task writes at most a file for each row that it has, and rows are blocks of some megabytes.
-    Dropping the table removes its files.
+    :func:`unbucketed` removes it.
     """
     spark = df.sparkSession
     name = f"pagemill_{name}_{uuid.uuid4().hex}"
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
+    path = f"{shared_dir(spark)}/pagemill/{name}"
     with small_batches(spark):
-        df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name)
-    return spark.table(name), name
+        df.write.option("compression", "zstd").option("path", path).bucketBy(n, key).saveAsTable(name)
+    out = spark.table(name)
+    out.stored_at = path
+    return out, name
+
+
+def unbucketed(df: DataFrame, name: str) -> None:
+    """Drop a table that :func:`bucketed` has written, and its files."""
+    df.sparkSession.sql(f"DROP TABLE {name}")
+    discard(df)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:

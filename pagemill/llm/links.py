@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import stored, trim
+from pagemill.llm.common import discard, stored, trim
 
 
 def stars(members: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy(F.col("u").alias("of")).agg(F.min("v").alias("m"))
         small = large.join(low, F.col("u") == F.col("of")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(low.select(F.col("of").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        last, edges = edges, stored(small.unionByName(low.select(F.col("of").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before or not now[0]:
             break

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.llm import bpe, brown, dedup, fingerprint, langid, licenses, neighbours, packing, quality, urls
+from pagemill.llm import alignment, audit, bpe, brown, dedup, fingerprint, langid, licenses, neighbours, packing, quality, simhash, urls
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,8 +15,12 @@ QUERIES = {
     "op8_url_rules": urls.query,
     "op9_collision_counting": neighbours.query,
     "op10_bpe": bpe.query,
+    "op11_alignment": alignment.query,
+    "op12_filter_audit": audit.query,
+    "op13_simhash": simhash.query,
 }
 
 ORACLES: dict[str, str] = {
     "op8_url_rules": urls.SQL,
+    "op12_filter_audit": audit.SQL,
 }
