@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -121,3 +123,45 @@ def short_side(corners: Column) -> Column:
 def scaled_corners(corners: Column, width: Column, height: Column, to_width: Column, to_height: Column) -> Column:
     """Corners found on a map of one size, in whole pixels of the page that it stands for."""
     return F.transform(corners, lambda p: F.array(clipped(p[0] / width, to_width, to_width), clipped(p[1] / height, to_height, to_height)))
+
+
+def towards(p: Column, q: Column) -> Column:
+    """The unit vector [x, y] from q to p; zero where they are the same."""
+    far = F.sqrt(F.pow(p[0] - q[0], F.lit(2)) + F.pow(p[1] - q[1], F.lit(2)))
+    return F.array(F.coalesce(F.try_divide(p[0] - q[0], far), F.lit(0.0)), F.coalesce(F.try_divide(p[1] - q[1], far), F.lit(0.0)))
+
+
+def moved_corners(corners: Column, distance: Column) -> Column:
+    """A rectangle's corners, given in turn, after its sides have moved outwards: the least
+    rectangle around :func:`moved_ring`. A rectangle that doesn't move stays as it is."""
+
+    def move(p: Column, i: Column) -> Column:
+        n = F.size(corners)
+        a, b = towards(p, F.get(corners, (i + 1) % n)), towards(p, F.get(corners, (i + n - 1) % n))
+        return F.array(p[0] + distance * (a[0] + b[0]), p[1] + distance * (a[1] + b[1]))
+
+    return F.when(distance == 0, corners).otherwise(F.transform(corners, move))
+
+
+def moved_ring(points: Column, distance: Column, steps: int = 8) -> Column:
+    """A convex polygon, given in turn, moved outwards, with rounded corners.
+
+    Around each corner lie ``steps`` + 1 points of a circle, from the one side's normal to the
+    next one's. Repeated corners count once; a polygon that doesn't move stays as it is.
+    """
+    n = F.size(points)
+    ring = F.filter(points, lambda p, i: (p[0] != F.get(points, (i + 1) % n)[0]) | (p[1] != F.get(points, (i + 1) % n)[1]))
+    turn = lambda r: F.aggregate(F.transform(r, lambda p, i: p[0] * F.get(r, (i + 1) % F.size(r))[1] - F.get(r, (i + 1) % F.size(r))[0] * p[1]), F.lit(0.0), lambda s, x: s + x)
+    ring = F.when(turn(ring) < 0, F.reverse(ring)).otherwise(ring)
+    normal = lambda p, q: F.atan2(p[0] - q[0], q[1] - p[1])  # of the side from p to q, when the inside is on its left
+
+    def corner(r: Column, p: Column, i: Column) -> Column:
+        m = F.size(r)
+        start, end = normal(F.get(r, (i + m - 1) % m), p), normal(p, F.get(r, (i + 1) % m))
+        bend = F.pmod(end - start, F.lit(2 * math.pi))
+        angle = lambda k: start + bend * k / steps
+        return F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: F.array(p[0] + distance * F.cos(angle(k)), p[1] + distance * F.sin(angle(k))))
+
+    # bound once, so that the ring isn't worked out anew for each corner
+    bound = F.transform(F.array(ring), lambda r: F.flatten(F.transform(r, lambda p, i: corner(r, p, i))))
+    return F.when(distance == 0, points).otherwise(bound[0])

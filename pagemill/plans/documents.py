@@ -10,6 +10,7 @@ from pagemill.operators import accuracy, results
 from pagemill.operators.jobs import missing_pages as not_arrived
 from pagemill.operators.pageplan import batches_within
 from pagemill.operators.recognition import kept_regions, with_second_pass
+from pagemill.operators.regions import region_boxes, regions_of, widened
 from pagemill.operators.upsert import staged, upserted
 from pagemill.plans.catalogue import registered
 from pagemill.sources.tables import table
@@ -283,3 +284,48 @@ def box_corners(spark, sf):
 def box_filters(spark, sf):
     regions = table(spark, sf, "part").select("p_brand", "p_partkey", F.col("p_size").alias("side"), (F.col("p_retailprice") / 1500).alias("score"), (F.col("p_size") * 1.5 - 4).alias("side_after"))
     return kept_regions(regions, ["p_brand"], "p_partkey", most=50).select("p_brand", "p_partkey")
+
+
+MAP_SIDE = 8
+# Flood fill by recursion: every cell's patch (or gap, with what surrounds the map) is the least cell that it reaches.
+FILLED = """cells AS (SELECT vec_id, i % 10 - 1 AS x, i // 10 - 1 AS y, CASE WHEN i % 10 BETWEEN 1 AND 8 AND i // 10 BETWEEN 1 AND 8 THEN embedding[(i // 10 - 1) * 8 + i % 10]::DOUBLE ELSE 0 END AS p FROM embeddings, LATERAL (SELECT unnest(range(100)) AS i)),
+lit AS (SELECT *, p > 0.05 AS bright, y * 8 + x AS c FROM cells),
+steps AS (SELECT a.vec_id, (a.y + 1) * 10 + a.x + 1 AS u, (b.y + 1) * 10 + b.x + 1 AS v FROM lit a JOIN lit b ON a.vec_id = b.vec_id AND a.bright = b.bright AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.bright OR abs(a.x - b.x) + abs(a.y - b.y) <= 1)),
+reach AS (SELECT vec_id, u, v FROM steps UNION SELECT r.vec_id, r.u, s.v FROM reach r JOIN steps s ON r.vec_id = s.vec_id AND r.v = s.u),
+labels AS (SELECT vec_id, u, min(v) AS root FROM reach GROUP BY 1, 2),
+named AS (SELECT lit.*, root FROM lit JOIN labels ON lit.vec_id = labels.vec_id AND u = (y + 1) * 10 + x + 1),
+touching AS (SELECT DISTINCT a.vec_id, a.root AS patch, b.root AS gap, a.x, a.y, a.c FROM named a JOIN named b ON a.vec_id = b.vec_id AND a.bright AND NOT b.bright AND abs(a.x - b.x) + abs(a.y - b.y) = 1),
+outers AS (SELECT vec_id, patch, arg_min(gap, g.above) AS outer_gap FROM (SELECT a.vec_id, a.root AS patch, b.root AS gap, (b.y + 1) * 10 + b.x + 1 AS above FROM named a JOIN named b ON a.vec_id = b.vec_id AND a.bright AND NOT b.bright AND a.x = b.x AND b.y = a.y - 1) g GROUP BY 1, 2),
+bordered AS (SELECT t.*, gap <> outer_gap AS hole, CASE WHEN gap <> outer_gap THEN (gap // 10 - 1) * 8 + gap % 10 - 2 ELSE (t.patch // 10 - 1) * 8 + t.patch % 10 - 1 END AS start FROM touching t JOIN outers o ON t.vec_id = o.vec_id AND t.patch = o.patch)"""
+# The least rectangle lies along the line through two of the cells.
+RECTANGLES = f"""WITH RECURSIVE {FILLED},
+turns AS (SELECT DISTINCT a.vec_id, a.patch, a.gap, b.x - a.x AS dx, b.y - a.y AS dy FROM bordered a JOIN bordered b ON a.vec_id = b.vec_id AND a.patch = b.patch AND a.gap = b.gap AND ((b.x > a.x AND b.y >= a.y) OR (b.x <= a.x AND b.y > a.y)) UNION SELECT DISTINCT vec_id, patch, gap, 1, 0 FROM bordered),
+ways AS (SELECT DISTINCT vec_id, patch, gap, CASE WHEN dx > 0 AND dy >= 0 THEN dx ELSE dy END AS dx, CASE WHEN dx > 0 AND dy >= 0 THEN dy ELSE -dx END AS dy FROM turns),
+extents AS (SELECT w.vec_id, w.patch, w.gap, dx, dy, any_value(start) AS start, any_value(hole) AS hole, count(*)::INTEGER AS points, min((dx * x + dy * y) / sqrt(dx * dx + dy * dy)) AS a0, max((dx * x + dy * y) / sqrt(dx * dx + dy * dy)) AS a1, min((dx * y - dy * x) / sqrt(dx * dx + dy * dy)) AS b0, max((dx * y - dy * x) / sqrt(dx * dx + dy * dy)) AS b1
+  FROM ways w JOIN bordered b ON w.vec_id = b.vec_id AND w.patch = b.patch AND w.gap = b.gap GROUP BY ALL),
+boxes AS (SELECT * FROM extents QUALIFY row_number() OVER (PARTITION BY vec_id, patch, gap ORDER BY round((a1 - a0) * (b1 - b0), 6), round(least(a1 - a0, b1 - b0), 6), dy / dx) = 1),
+scored AS (SELECT e.vec_id, e.patch, e.gap, any_value(start)::BIGINT AS start, any_value(hole) AS hole, any_value(points) AS points, round(any_value((a1 - a0) * (b1 - b0)), 9) AS area, round(any_value(least(a1 - a0, b1 - b0)), 9) AS side,
+  any_value((a1 - a0) + (b1 - b0)) AS half, round(avg(p), 9) AS score FROM boxes e JOIN lit l ON e.vec_id = l.vec_id AND l.x BETWEEN 0 AND 7 AND l.y BETWEEN 0 AND 7
+  AND (dx * x + dy * y) / sqrt(dx * dx + dy * dy) BETWEEN a0 - 1e-6 AND a1 + 1e-6 AND (dx * y - dy * x) / sqrt(dx * dx + dy * dy) BETWEEN b0 - 1e-6 AND b1 + 1e-6 GROUP BY ALL),
+regions AS (SELECT *, (row_number() OVER (PARTITION BY vec_id ORDER BY start DESC, patch, gap) - 1)::INTEGER AS region, round(CASE WHEN half > 0 THEN area * 1.5 / (2 * half) ELSE 0 END, 9) AS off FROM scored)"""
+
+
+def maps_of(spark, sf):
+    """Embeddings as maps of 8 x 8 cells, for pages of 640 x 480."""
+    size = {"width": F.lit(MAP_SIDE), "page_width": F.lit(640), "page_height": F.lit(480)}
+    return table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("values")).withColumns(size)
+
+
+@registered(f"{RECTANGLES} SELECT vec_id, region, start, hole, points, round(area, 6) AS area, round(side, 6) AS side, round(score, 6) AS score, round(off, 6) AS offset, round(round(side + 2 * off, 9), 6) AS side_after FROM regions")
+def text_regions(spark, sf):
+    """Every region of every map, with the least rectangle around it and the mean inside that."""
+    found = widened(regions_of(maps_of(spark, sf), ["vec_id"], threshold=0.05))
+    return found.select("vec_id", "region", "start", "hole", "points", *[F.round(c, 6).alias(c) for c in ("area", "side", "score", "offset", "side_after")])
+
+
+@registered(f"{RECTANGLES} SELECT vec_id, region, round(side, 6) AS side, round(score, 6) AS score FROM regions WHERE region < 5 AND side >= 3 AND score >= 0.06 AND side + 2 * off >= 5")
+def text_boxes(spark, sf):
+    """The regions that are read: of the first five of a map, those that are wide and bright enough."""
+    kept = region_boxes(maps_of(spark, sf), ["vec_id", "page_width", "page_height"], "page_width", "page_height", threshold=0.05, least_score=0.06, most=5)
+    inside = F.forall("box", lambda p: p[0].between(0, 640) & p[1].between(0, 480))
+    return kept.where(inside).select("vec_id", "region", F.round("side", 6).alias("side"), F.round("score", 6).alias("score"))
