@@ -175,8 +175,8 @@ def micro_batch_apply(spark, sf):
 def stateful_job_tracker(spark, sf):
     """Events as a stream of page results; the state of every job after the last one."""
     results = streams.file_stream(spark, sf, "events.parquet", EVENTS).select(F.col("user_id").alias("job_id"), F.col("event_id").alias("page"), (F.col("event_type") == "error").alias("failed"))
-    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.TRACKED, "job_id")
-    return streams.applied(streams.tracked(results), kept, streams.newest)
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.COUNTED, "job_id")
+    return streams.summed(streams.applied(streams.tracked(results), kept, streams.replaced), known_only=False).select("job_id", "processed_pages", "failed_pages", "last_page")
 
 
 @registered("""WITH e AS (SELECT user_id AS job_id, CASE WHEN event_type = 'signup' THEN 'submitted' WHEN json_extract_string(props, '$.k')::INTEGER % 10 = 0 THEN 'dropped' ELSE 'page' END AS kind, event_type = 'error' AS failed FROM events),
@@ -187,8 +187,8 @@ def stream_job_states(spark, sf):
     """Events as a stream: a signup submits the user's job, other events are its pages; users without one are unknown."""
     kind = F.when(F.col("event_type") == "signup", "submitted").when(F.get_json_object("props", "$.k").cast("int") % 10 == 0, "dropped").otherwise("page")
     events = streams.file_stream(spark, sf, "events.parquet", EVENTS).select(F.col("user_id").alias("job_id"), kind.alias("kind"), F.col("event_id").alias("page"), (F.col("event_type") == "error").alias("failed"), (F.lit(10) + F.col("user_id") % 40).alias("total_pages"))
-    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.STATES, "job_id")
-    return streams.with_status(streams.applied(streams.job_states(events), kept, streams.newest))
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.COUNTED, "job_id")
+    return streams.with_status(streams.summed(streams.applied(streams.job_states(events), kept, streams.replaced))).drop("last_page")
 
 
 @registered("""SELECT o_custkey AS document_id, count(*)::BIGINT AS pages, arg_max(o_orderstatus, o_orderkey) AS full_text FROM orders GROUP BY 1""")

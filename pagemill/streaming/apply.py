@@ -1,17 +1,18 @@
-"""Results that arrive as a stream: applied in micro-batches, and counted by job."""
+"""Results that arrive as a stream, applied in micro-batches."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pagemill import session
-from pagemill.operators.jobs import status_of
+from pagemill.streaming.states import COUNTED, job_states, newest_ended, poll_stream, replaced, summed, tracked, with_status
+from pagemill.streaming.versioned import Change, VersionedTable
+
+__all__ = ["COUNTED", "Change", "VersionedTable", "applied", "file_stream", "job_states", "newest_ended", "poll_stream", "replaced", "run_through", "shared_dir", "summed", "tracked", "with_status"]
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,156 +26,38 @@ def file_stream(spark: SparkSession, folder: str, name: str, schema: str, files_
     return reader.parquet(f"{folder}/{{{name}}}")  # a pattern of one name: it may be a file or a folder
 
 
-Change = Callable[[DataFrame, DataFrame], DataFrame]
-LOG = "version long, part int, folder string"
-
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Timers are looked at when a batch has rows; without this a run through what has arrived would never end.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
-class VersionedTable:
-    """A table by key that changes batch by batch, and goes on after a restart.
-
-    Rows are dealt into ``parts`` parts by a hash of their key. A batch reads the parts that its
-    keys touch, writes them anew into a folder of its own, and then adds one file to the log, which
-    appears whole or not at all: it names the folder of each part. Readers take the newest folder
-    of each part. So what a broken-off batch has written is never read, and a batch that comes
-    again after it was logged isn't applied again.
-    """
 
-    def __init__(self, spark: SparkSession, folder: str, schema: str, key: str, parts: int = 16):
-        self.spark, self.folder, self.schema, self.key, self.parts = spark, folder, schema, key, parts
-        spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{folder}/log")
-
-    def newest(self) -> list[tuple[int, int, str | None]]:
-        """(version, part, folder) of every part that was ever written; the folder is null if it is empty."""
-        log = self.spark.read.schema(LOG).parquet(f"{self.folder}/log")
-        last = log.groupBy("part").agg(F.max_by(F.struct("version", "folder"), "version").alias("last"))
-        return [(r["last"]["version"], r["part"], r["last"]["folder"]) for r in last.collect()]
-
-    @property
-    def version(self) -> int:
-        """Number of the last batch that was applied; -1 before the first."""
-        return max((v for v, *_ in self.newest()), default=-1)
-
-    def read(self, only: set[int] | None = None) -> DataFrame:
-        """The table, or those parts of it."""
-        paths = [f"{self.folder}/{folder}/versioned_part={part}" for _, part, folder in self.newest() if folder and (only is None or part in only)]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def update(self, change: Change, batch: DataFrame, number: int | None = None) -> None:
-        """The table becomes ``change(table, batch)``, unless this or a later batch was applied before.
-
-        ``change`` may only return rows of keys that the batch or the touched parts of the table have.
-        """
-        last = self.version
-        number = last + 1 if number is None else number
-        if number <= last:
-            return
-        batch = batch.persist()
-        try:
-            part = F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("int").alias("versioned_part")
-            touched = {r["versioned_part"] for r in batch.select(part).distinct().collect()}
-            if not touched:
-                return
-            folder = f"v{number}-{uuid.uuid4().hex}"
-            new = change(self.read(touched), batch).select("*", part).repartition(len(touched), "versioned_part")
-            new.write.partitionBy("versioned_part").parquet(f"{self.folder}/{folder}")
-            written = self.spark.read.schema(f"{self.schema}, versioned_part int").parquet(f"{self.folder}/{folder}")
-            there = {r["versioned_part"] for r in written.select("versioned_part").distinct().collect()}
-            if not there <= touched:
-                raise ValueError("a change returned rows of keys that are neither in the batch nor in its parts of the table")
-            self.commit([(number, p, folder if p in there else None) for p in sorted(touched)])
-        finally:
-            batch.unpersist()
-
-    def commit(self, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
-
-    def apply(self, change: Change) -> Callable[[DataFrame, int], None]:
-        """For foreachBatch: the table becomes ``change(table, batch)``."""
-        return lambda batch, number: self.update(change, batch, number)
-
-
-def applied(stream: DataFrame, table: VersionedTable, change: Change, mode: str = "append") -> DataFrame:
-    """Run all that has arrived through ``change``, batch by batch, and return the table."""
-    query = stream.writeStream.outputMode(mode).foreachBatch(table.apply(change)).option("checkpointLocation", f"{table.folder}/offsets").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return table.read()
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start inside keep their state in the store that keyed state needs."""
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-TRACKED = "job_id long, processed_pages long, failed_pages long, last_page long"
+def run_through(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    """Pass all that has arrived to ``each``, batch by batch, from where ``checkpoint`` says."""
+    with keyed_state(stream.sparkSession):
+        query = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
 
 
-def tracked(results: DataFrame, most_idle_ms: int | None = None) -> DataFrame:
-    """A stream of results (job_id, page, failed) as a stream of job states.
+def applied(stream: DataFrame, table: VersionedTable, change: Change, mode: str = "append", most_rows: int | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Run all that has arrived through ``change``, batch by batch, and return the table.
 
-    Each page counts once, however often it comes: the pages seen are state by job and page, so a
-    job of many pages is spread, and a job's own state is its counts. The first result of a page is
-    the one that counts. A job that gets no page for ``most_idle_ms`` is forgotten; such a stream
-    runs until it is stopped.
+    ``checkpoint`` names the stream; by default the table has one. With ``most_rows`` no change
+    gets more rows at a time.
     """
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        done, failed, last = state.get if state.exists else (0, 0, None)
-        for batch in batches:
-            done, failed = done + len(batch), failed + int(batch["failed"].fillna(False).astype(bool).sum())
-            last = max(x for x in (last, int(batch["page"].max())) if x is not None)
-        state.update((done, failed, last))
-        if most_idle_ms:
-            state.setTimeoutDuration(most_idle_ms)
-        yield pd.DataFrame({"job_id": [key[0]], "processed_pages": [done], "failed_pages": [failed], "last_page": [last]})
-
-    once = results.select("job_id", "page", "failed").where("page is not null").dropDuplicates(["job_id", "page"])
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if most_idle_ms else GroupStateTimeout.NoTimeout
-    return once.groupBy("job_id").applyInPandasWithState(update, TRACKED, "done long, failed long, last long", "append", timeout)
-
-
-STATES = "job_id long, total_pages long, processed_pages long, failed_pages long, dropped_pages long"
-
-
-def job_states(events: DataFrame, most_idle_ms: int | None = None) -> DataFrame:
-    """A stream of what happens to jobs, rows (job_id, kind, page, failed, total_pages), as job states.
-
-    The kind is ``submitted`` (with the number of pages that are expected), ``page`` (a result) or
-    ``dropped`` (a page that won't come). A job is known from its submission on; what comes for a
-    job that isn't known, or isn't any more, is dropped. Within a batch submissions come first.
-    Each page counts once of each kind.
-    """
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known = state.exists
-        total, done, failed, dropped = state.get if known else (0, 0, 0, 0)
-        for batch in batches:
-            own = batch["kind"].eq("page")
-            submitted = batch.loc[batch["kind"].eq("submitted"), "total_pages"]
-            if len(submitted):
-                known, total = True, max(total, int(submitted.fillna(0).max()))
-            done, failed = done + int(own.sum()), failed + int(batch.loc[own, "failed"].fillna(False).astype(bool).sum())
-            dropped += int(batch["kind"].eq("dropped").sum())
-        if not known:
-            return
-        state.update((total, done, failed, dropped))
-        if most_idle_ms:
-            state.setTimeoutDuration(most_idle_ms)
-        yield pd.DataFrame({"job_id": [key[0]], "total_pages": [total], "processed_pages": [done], "failed_pages": [failed], "dropped_pages": [dropped]})
-
-    once = events.select("job_id", "kind", "page", "failed", "total_pages").dropDuplicates(["job_id", "kind", "page"])
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if most_idle_ms else GroupStateTimeout.NoTimeout
-    return once.groupBy("job_id").applyInPandasWithState(update, STATES, "total long, done long, failed long, dropped long", "append", timeout)
-
-
-def with_status(states: DataFrame) -> DataFrame:
-    return states.withColumn("status", status_of(F.col("total_pages"), F.col("processed_pages"), F.col("failed_pages"), F.col("dropped_pages")))
-
-
-def newest(table: DataFrame, batch: DataFrame) -> DataFrame:
-    """Job states after a batch: a job's state is the one with the most pages."""
-    rest = [c for c in table.columns if c != "job_id"]
-    seen = [c for c in ("processed_pages", "dropped_pages", "total_pages") if c in rest]
-    return table.unionByName(batch).groupBy("job_id").agg(F.max_by(F.struct(*rest), F.struct(*seen)).alias("s")).select("job_id", "s.*")
+    run_through(stream, table.apply(change, most_rows), checkpoint or f"{table.folder}/offsets", mode)
+    return table.read()
