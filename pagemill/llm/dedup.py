@@ -360,9 +360,34 @@ def across(opened: DataFrame, texts: DataFrame, sketch: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, class_id), one for each row of ``docs``."""
+    return judged(docs, id_col, text_col).select(F.col("id").alias(id_col), "class_id")
+
+
+def judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, digest, class_id, stays), one for each row of ``docs``.
+
+    Of each class the rows of one text and id stay: those of the smallest id, and if it has several
+    texts there, of the least digest. Rows with a null id stay. An id with different texts is as
+    many documents; where there are such ids, documents are told apart by id and digest.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     digests = stored(rows.select("id", "digest"), "order-digests")
+    several = digests.where("id is not null").groupBy("id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
+    if several.isEmpty():
+        found = classes_of(rows, digests)
+        return found.select("id", "digest", "class_id", (F.col("id").isNull() | (F.col("id") == F.col("class_id"))).alias("stays"))
+    kind = rows.schema["id"].dataType.simpleString()
+    named = rows.select(F.concat(F.col("id").cast("string"), F.lit(":"), F.hex("digest")).alias("id"), "text", "digest")
+    found = stored(classes_of(named, named.select("id", "digest")), "order-named")
+    own = F.expr(f"cast(left(id, length(id) - 65) as {kind})")
+    first = found.where("id is not null").groupBy(F.col("class_id").alias("of")).agg(F.min(F.struct(own.alias("own"), F.col("id").alias("name"))).alias("first"))
+    found = found.join(first, F.col("class_id") == F.col("of"), "left")
+    return found.select(own.alias("id"), "digest", F.col("first.own").alias("class_id"), (F.col("id").isNull() | (F.col("id") == F.col("first.name"))).alias("stays"))
+
+
+def classes_of(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """Rows (id, digest, class_id) from rows (id, text, digest) in which an id has one text."""
     firsts = digests.where("id is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
     firsts = stored(firsts, "order-firsts")
     copies = digests.join(firsts.where("rep <> last"), "digest").where("id <> rep").select("id", "digest").distinct()
@@ -380,7 +405,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         comps = stored(components(links.unionByName(more)), "order-classes")
     whole = digests.join(firsts.select("digest", "rep"), "digest", "left")
     named_by = comps.select(F.col("id").alias("rep"), "class")
-    return whole.join(named_by, "rep", "left").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.coalesce("class", "rep")).alias("class_id"))
+    return whole.join(named_by, "rep", "left").select("id", "digest", F.when(F.col("id").isNotNull(), F.coalesce("class", "rep")).alias("class_id"))
 
 
 def content_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -396,13 +421,19 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its columns.
 
-    Repeated rows of it are one document too; documents with a null id stay.
+    Repeated rows of it are one document too; of two texts with one id each is a document of its
+    own; documents with a null id stay.
     """
-    classes = stored(near_classes(docs), "order-result")
-    gone = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    rest = anti_or_semi(docs, gone, ["doc_id"], "left_anti")
-    again = classes.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    found = stored(judged(docs, "doc_id", "text"), "order-result")
+    column = "__digest"
+    while column.lower() in map(str.lower, docs.columns):
+        column += "_"
+    on = ["doc_id", column]
+    found = found.select(F.col("id").alias("doc_id"), F.col("digest").alias(column), "stays")
+    rows = docs.withColumn(column, F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)))
+    rest = anti_or_semi(rows, found.where("not stays").select(on).distinct(), on, "left_anti")
+    again = found.where("stays and doc_id is not null").groupBy(on).count().where("count > 1").select(on)
     if again.isEmpty():
-        return rest
-    once = anti_or_semi(rest, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return anti_or_semi(rest, again, ["doc_id"], "left_anti").unionByName(once)
+        return rest.drop(column)
+    once = anti_or_semi(rest, again, on, "left_semi").dropDuplicates(on)
+    return anti_or_semi(rest, again, on, "left_anti").unionByName(once).drop(column)

@@ -4,7 +4,7 @@ The network reads a text's UTF-8 bytes in windows of ``WINDOW`` bytes, one hidde
 direction, and gives every byte position a distribution over the learned languages; a document's
 probabilities are the mean over all its positions, whatever its length. It is trained in numpy by
 backpropagation through time on a bounded sample of labelled texts: about ``PER_LANGUAGE`` texts
-of each language, chosen by hash of the id, from each of which windows are drawn at hashed places.
+of each language, chosen by hash of id and text, from each of which windows are drawn at hashed places.
 Every language that a training row names is learned, however many there are.
 
 Texts that are null or have no letter are ``und`` with score 0. With no labelled text every text
@@ -17,6 +17,7 @@ predicted; in training each text of the sample gives ``WINDOWS_OF_TEXT`` windows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ WINDOW = 96
 HIDDEN = 12
 #: Texts to learn from in each language (expected; they're chosen by hash), and windows of each.
 PER_LANGUAGE, WINDOWS_OF_TEXT = 400, 4
+#: Places of hashes.
+PLACES = 1_000_000
 #: A batch has BATCH windows, and at least LEAST_OF_EACH of each language.
 STEPS, BATCH, LEAST_OF_EACH, RATE = 260, 128, 2, 0.02
 #: Windows read together (fewer for more than USUAL languages), and a task's bytes at a time.
@@ -148,6 +151,8 @@ class Network:
 
     def learn(self, codes: np.ndarray, labels: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = RATE, seed: int = 11) -> None:
         """Adam over random batches of windows (codes: windows by time), languages equally often."""
+        if not len(codes):
+            return
         rng = np.random.default_rng(seed)
         each = [np.flatnonzero(labels == k) for k in range(len(self.languages))]
         each = [e for e in each if len(e)]
@@ -209,16 +214,20 @@ def windows_of(texts: list[bytes], keys: list[int]) -> tuple[np.ndarray, np.ndar
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network:
-    """Learn from rows whose language isn't null."""
+    """Learn from rows whose language and text aren't null.
+
+    Of each language about PER_LANGUAGE different rows (by id and text) count, those of the least
+    hashes, and one at least: ids may be null or repeat, and repeated rows count once.
+    """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().collect()
+    rows = rows.withColumn("key", F.xxhash64("id", "lang", "text")).withColumn("place", F.pmod("key", F.lit(PLACES)))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Network([])
-    # hashes below a language's share of the range: about PER_LANGUAGE of its texts
-    shares = labelled.sparkSession.createDataFrame([(r["lang"], min(1.0, PER_LANGUAGE / r["count"])) for r in counts], "lang string, share double")
-    key = F.xxhash64("id", "lang")
-    chosen = rows.withColumn("key", key).join(F.broadcast(shares), "lang").where(F.pmod("key", F.lit(1_000_000)) < F.col("share") * 1_000_000).select("id", "text", "lang", "key")
+    # places below a language's share of the range: about PER_LANGUAGE of its texts, and one at least
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], max(math.ceil(min(1.0, PER_LANGUAGE / r["n"]) * PLACES), r["first"] + 1)) for r in counts], "lang string, below long")
+    chosen = rows.join(F.broadcast(shares), "lang").where("place < below").select("id", "text", "lang", "key").dropDuplicates(["lang", "key"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

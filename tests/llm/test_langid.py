@@ -107,3 +107,14 @@ def test_every_language_of_the_training_rows_is_learned(spark):
     p = langid.pooled(network, [t.encode() for _, t, _ in rows])
     assert p.shape == (210, 70) and np.allclose(p.sum(1), 1, atol=1e-4)
     assert np.mean([names[k] == r[2] for k, r in zip(p.argmax(1), rows, strict=True)]) > 0.5
+
+
+def test_null_and_repeated_ids_lose_no_language(spark):
+    rows = [(None, f"{chr(0x4E00 + 40 * k)}{n} " * 20, f"l{k}") for k in range(12) for n in range(500)]
+    schema = "doc_id long, text string, lang string"
+    network = langid.train(spark.createDataFrame(rows, schema))
+    p = langid.pooled(network, [t.encode() for _, t, _ in rows[::50]])
+    assert np.mean([network.languages[k] == r[2] for k, r in zip(p.argmax(1), rows[::50], strict=True)]) > 0.9
+    same = langid.train(spark.createDataFrame([(None, "eins zwei drei", "de")] * 3000 + [(7, f"one two {k % 2}", "en") for k in range(3000)], schema))
+    p = langid.pooled(same, [b"eins zwei drei", b"one two 1"])
+    assert [same.languages[k] for k in p.argmax(1)] == ["de", "en"]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -54,6 +55,25 @@ def test_odd_rows_go_through_every_stage(spark, sf):
             assert "bucket" in docs.columns, name
             assert not Counter(r["doc_id"] for r in docs.select("doc_id").collect()) - Counter(all_ids)
             if name == "quality":  # null and empty texts have no perplexity and go
-                assert docs.where("text is null or text = ''").where("doc_id is not null").count() == 0
+                assert docs.where("text is null or text = ''").count() == 0
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() >= docs.count()
     assert dedup.kept(spark, odd.documents(spark), sf).where("doc_id = 100").count() == 1
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_one_by_one(spark, sf):
+    good = table(spark, sf, "documents").join(table(spark, sf, "labels").where("quality = 1"), "doc_id").orderBy("doc_id").first()["text"]
+    junk = "".join(random.Random(4).choices("zqxjkvw#%0189~", k=1600))
+    some = [(None, good, "en", "s"), (None, "", "en", "s"), (None, None, "en", "s"), (None, junk, "en", "s"), (-1, good + " and so on", "en", "s"), (-1, junk, "en", "s"), (-1, "", "en", "s")]
+    docs = table(spark, sf, "documents")
+    docs = docs.unionByName(odd.documents(spark, some).select(docs.columns))
+    left = quality.kept(spark, docs, sf).where("doc_id is null or doc_id = -1")
+    assert sorted(r["text"] for r in left.collect()) == sorted([good, good + " and so on"])
+
+
+def test_different_texts_of_one_id_are_different_documents(spark, sf):
+    a, b, c = odd.varied(1, 60), odd.varied(2, 60), odd.varied(3, 60)
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (2, c, "en", "s"), (3, a + " x", "en", "s"), (0, b, "en", "s"), (1, a, "en", "s"), (None, a, "en", "s"), (4, c, "en", "s"), (4, a, "en", "s")]
+    left = dedup.kept(spark, odd.documents(spark, rows), sf)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left.collect()) == sorted([("1", a), ("0", b), ("2", c), ("None", a)])
+    classes = sorted((str(r["doc_id"]), str(r["class_id"])) for r in dedup.near_classes(odd.documents(spark, rows)).collect())
+    assert classes == sorted([("1", "1"), ("1", "0"), ("2", "2"), ("3", "1"), ("0", "0"), ("1", "1"), ("None", "None"), ("4", "2"), ("4", "1")])
