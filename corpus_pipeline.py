@@ -4,9 +4,10 @@
 stage before it kept. All but the last return the columns of documents, further ones too, whatever
 their names; the last returns pieces and bins.
 
-Null and empty texts go in the first stage (rows that share an id stay or go together), texts
-without a letter in the second. Repeated rows and copies are one document after the third, the one
-of the smallest id; rows with a null id are never taken for copies. Of two equally good languages
+Null and empty texts go in the first stage, texts without a letter in the second; each row is judged
+by its own text, whatever its id. Repeated rows and copies are one document after the third, the one
+of the smallest id; different texts with one id are different documents there, and rows with a null
+id are never taken for copies. Of two equally good languages
 the first in the alphabet counts, and pieces of the same length are packed in the order of a digest
 of their row. Very long texts are judged whole and packed in several pieces. An empty table stays
 empty in every stage.

@@ -34,12 +34,13 @@ def upserted(target: DataFrame, batch: DataFrame, key: str = "document_id", now:
 
     ``created_at`` stays, ``updated_at`` is the batch's one time, JSON columns in ``merge`` are
     merged at their top level. Columns that the batch hasn't keep their values. A batch that names
-    a key twice fails when it runs; the check shares the join's exchange.
+    a key twice, or has a row without one, fails when it runs; the check shares the join's exchange.
     """
     now = F.current_timestamp() if now is None else now
     new = batch.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__times"), F.first(F.struct(*[F.col(c).alias(f"__{c}") for c in batch.columns])).alias("__row"))
     again = F.raise_error(F.concat(F.lit(f"{key} "), F.col("__key").cast("string"), F.lit(" comes more than once in one batch"))).cast("boolean")
-    new = new.where(F.when(F.col("__times") > 1, again).otherwise(F.lit(True))).select("__key", *[F.col(f"__row.__{c}") for c in batch.columns if c != key])
+    none = F.raise_error(F.lit(f"a row of the batch has no {key}")).cast("boolean")
+    new = new.where(F.when(F.col("__key").isNull(), none).when(F.col("__times") > 1, again).otherwise(F.lit(True))).select("__key", *[F.col(f"__row.__{c}") for c in batch.columns if c != key])
     both = target.join(new, F.col(key) == F.col("__key"), "full_outer")
     given, known = F.col("__key").isNotNull(), F.col(key).isNotNull()
     out = []

@@ -59,6 +59,12 @@ def test_upsert(spark):
     upsert.refuse_repeats(batch, "document_id")
 
 
+def test_a_row_without_a_key_is_refused(spark):
+    schema = "document_id long, full_text string"
+    with pytest.raises(Exception, match="has no document_id"):
+        upsert.upserted(spark.createDataFrame([(1, "a")], schema), spark.createDataFrame([(None, "b"), (2, "c")], schema)).collect()
+
+
 def test_breaker():
     now = [0.0]
     breaker = upsert.Breaker(failures=2, pause=60, clock=lambda: now[0])
