@@ -11,5 +11,7 @@ KIND = "map<string,variant>"
 def merged(old: Column, new: Column) -> Column:
     """Top-level merge of two JSON objects: ``new`` wins, nulls stay, nested objects aren't merged."""
     a, b = (F.coalesce(F.from_json(x, KIND), F.from_json(F.lit("{}"), KIND)) for x in (old, new))
-    rest = F.map_filter(a, lambda k, _: ~F.array_contains(F.map_keys(b), k))
-    return F.to_json(F.map_concat(rest, b))
+    # bound once: inside a lambda's body a text would be parsed again for each key
+    bound = F.array(F.struct(a.alias("a"), b.alias("b"), F.map_keys(b).alias("keys")))
+    join = lambda x: F.map_concat(F.map_filter(x["a"], lambda k, _: ~F.array_contains(x["keys"], k)), x["b"])
+    return F.to_json(F.transform(bound, join)[0])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.texts import delta, gibibytes
+from pagemill.session import stored
+
+#: Rows whose values a task puts in order, in the mean at most.
+ROWS_OF_PART = 200_000
 
 
 def rate(amount: Column, seconds: Column) -> Column:
@@ -26,6 +30,39 @@ def percentiles(value: Column, at: tuple[float, ...] = (0.5, 0.95, 0.99)) -> lis
     return [F.coalesce(found[k], F.lit(0.0)).alias(f"p{round(p * 100)}") for k, p in enumerate(at)]
 
 
+def exact_percentiles(rows: DataFrame, by: list[str], value: str, at: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Rows (by, p50 and so on): exact percentiles with linear interpolation of each group, 0 without a value.
+
+    No task holds a group: values are counted first, dealt by ranges of group and value, and summed
+    within each range; a group's ranges, in order, tell how many of its values lie before each. So
+    a group with most of the rows is the work of as many tasks as its values fill ranges.
+    """
+    groups = [F.col(c).alias(f"__g{k}") for k, c in enumerate(by)]
+    names = [f"__g{k}" for k in range(len(by))]
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__n"))
+    parts = max(1, -(-rows.count() // ROWS_OF_PART))
+    dealt = stored(counts.repartitionByRange(parts, *names, "__v").withColumn("__part", F.spark_partition_id()), "percentiles")
+    sums = dealt.groupBy(*names, "__part").agg(F.sum("__n").alias("__sum"))  # a row for each range that a group lies in
+    group = Window.partitionBy(*names)
+    sums = sums.withColumns({"__before": F.sum("__sum").over(group.orderBy("__part")) - F.col("__sum"), "__all": F.sum("__sum").over(group)})
+    renamed = sums.select(*[F.col(c).alias(f"_{c}") for c in (*names, "__part")], "__before", "__all")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*names, "__part")]
+    own = dealt.join(renamed, same)
+    upto = F.col("__before") + F.sum("__n").over(Window.partitionBy(*names, "__part").orderBy("__v"))
+    own = own.withColumn("__upto", upto)
+    found = []
+    for k, p in enumerate(at):
+        place = (F.col("__all") - 1) * F.lit(p)
+        for end, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            found.append(F.max(F.when((F.col("__upto") > rank) & (F.col("__upto") - F.col("__n") <= rank), F.col("__v"))).alias(f"__{end}{k}"))
+    ends = own.groupBy(*names).agg(F.max("__all").alias("__all"), *found)
+    place = [(F.col("__all") - 1) * F.lit(p) for p in at]
+    value_at = [(F.ceil(x) - x) * F.col(f"__lo{k}") + (x - F.floor(x)) * F.col(f"__hi{k}") for k, x in enumerate(place)]
+    ends = ends.select(*names, *[F.when(F.col(f"__lo{k}") == F.col(f"__hi{k}"), F.col(f"__lo{k}")).otherwise(v).alias(f"p{round(p * 100)}") for k, (p, v) in enumerate(zip(at, value_at, strict=True))])
+    every = rows.select(*by).distinct()
+    return every.join(ends, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names, strict=True)], "left").select(*by, *[F.coalesce(f"p{round(p * 100)}", F.lit(0.0)).alias(f"p{round(p * 100)}") for p in at])
+
+
 def spread(value: Column) -> Column:
     """Sample standard deviation; 0 for fewer than two values."""
     return F.coalesce(F.stddev_samp(value), F.lit(0.0))

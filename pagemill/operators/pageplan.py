@@ -2,46 +2,39 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.geometry import kept_pages
 from pagemill.functions.paths import candidates
+from pagemill.session import stored
 
-
-#: Rows that a task numbers, in the mean at most, and the most ranges that rows are dealt into.
-ROWS_OF_PART, MOST_PARTS = 200_000, 10_000
+#: Rows that a task numbers, in the mean at most.
+ROWS_OF_PART = 200_000
+#: Bits of a row's place that count within its task.
+WITHIN = 33
 
 
 def numbered(rows: DataFrame, key: str, name: str = "ordinal") -> DataFrame:
-    """Rows numbered from 0 in ascending order of a numeric or time key, nulls first.
+    """Rows numbered from 0 in ascending order of a key, nulls first.
 
-    Rows are dealt by ranges of the key, more of them for more rows; each range is numbered for
-    itself, after the number of rows in the ranges before it. A key that fills a whole range, and
-    nulls, are split further by a hash of the row, as their own order is free. What reaches the
-    driver is one number for each range.
+    Rows are dealt by ranges of the key and of a hash of the row, more of them for more rows, so
+    hot keys and nulls are split too, as their own order is free. The sorted ranges are written
+    once; each row's number is its place in its range and the number of rows in those before it.
+    What reaches the driver is one number for each range.
     """
-    plain = F.col(key).cast("double")
-    total = rows.count()
-    parts = max(1, min(MOST_PARTS, -(-total // ROWS_OF_PART)))
-    bounds = rows.select(plain.alias("k")).where("k is not null").approxQuantile("k", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []
-    full = sorted(b for b, n in Counter(bounds).items() if n > 1)
-    bounds = sorted(set(bounds))
-    part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= plain)) if bounds else F.lit(0)
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(parts)).cast("int")
-    hot = F.array_contains(F.array(*map(F.lit, full)), plain) if full else F.lit(False)
-    # of a range: first the rows of its first key if that is a hot one, then all others
-    dealt = rows.withColumn("__part", F.struct(F.when(plain.isNull(), -1).otherwise(part).cast("int").alias("range"), F.when(plain.isNull() | hot, spread).otherwise(parts).alias("split")))
-    counts = {tuple(r["__part"]): r["count"] for r in dealt.groupBy("__part").count().collect()}
+    parts = max(1, -(-rows.count() // ROWS_OF_PART))
+    order = [F.col(key).asc_nulls_first(), F.xxhash64(*rows.columns)]
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
+    dealt = stored(dealt, "numbered")
+    part = F.shiftright("__place", WITHIN)
     starts, before = [], 0
-    for p in sorted(counts):
+    for p, n in sorted((r["part"], r["count"]) for r in dealt.groupBy(part.alias("part")).count().collect()):
         starts.append((p, before))
-        before += counts[p]
-    starts = rows.sparkSession.createDataFrame(starts, "__part struct<range:int,split:int>, __start long")
-    nth = F.row_number().over(Window.partitionBy("__part").orderBy(F.col(key).asc_nulls_first()))
-    return dealt.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + nth - 1).drop("__part", "__start")
+        before += n
+    starts = rows.sparkSession.createDataFrame(starts, "__part long, __start long")
+    own = dealt.join(F.broadcast(starts), part == F.col("__part"))
+    return own.withColumn(name, F.col("__start") + F.col("__place").bitwiseAND(F.lit((1 << WITHIN) - 1))).drop("__part", "__start", "__place")
 
 
 def batches(rows: DataFrame, key: str, size: int) -> DataFrame:

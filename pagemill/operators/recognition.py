@@ -20,17 +20,6 @@ class Engine(Protocol):
         """Lines of the page: dicts of text, confidence and bbox."""
 
 
-class PlainTextEngine:
-    """An engine for tests and dry runs: a page's bytes are its text, at a fixed confidence."""
-
-    def __init__(self, confidence: float = 0.9):
-        self.confidence = confidence
-
-    def read(self, image: bytes, dpi: int) -> list[dict]:
-        lines = bytes(image).decode("utf-8", "replace").split("\n")
-        return [{"text": t, "confidence": self.confidence, "bbox": [[0.0, float(k)]]} for k, t in enumerate(lines) if t]
-
-
 def recognised(pages: DataFrame, make: Callable[[], Engine], dpi: int = 100) -> DataFrame:
     """``pages`` (with a binary column image) with status, error and lines in its place.
 

@@ -91,4 +91,6 @@ def texts_for(targets: DataFrame, documents: DataFrame) -> DataFrame:
 
     Null where no document answers, empty where the one that does has no text.
     """
-    return by_suffix(targets, documents.select("path", "ordinal", "full_text")).drop("path")
+    found = by_suffix(targets, documents.select("path", "ordinal", F.col("ordinal").alias("__at")))  # names only: no text is copied
+    texts = documents.select(F.col("path").alias("__path"), F.col("ordinal").alias("__ordinal"), "full_text").dropDuplicates(["__path", "__ordinal"])
+    return found.join(texts, (F.col("path") == F.col("__path")) & (F.col("__at") == F.col("__ordinal")), "left").select(*targets.columns, "full_text")

@@ -74,6 +74,16 @@ def pending(documents: DataFrame, results: DataFrame, where: QueueFilter | None
     return rows.join(results.select(F.col(result_key).alias(key)), key, "left_anti")
 
 
+def pending_by_outer_join(documents: DataFrame, results: DataFrame, where: QueueFilter | None = None, key: str = "id", result_key: str = "document_id") -> DataFrame:
+    """The same by the older form, an outer join of which the rows without a partner stay.
+
+    Results are taken once for each document first, so those that have many don't multiply.
+    """
+    rows = documents.where((where or QueueFilter()).condition())
+    known = results.groupBy(F.col(result_key).alias("__key")).agg(F.count("*").alias("__results"))
+    return rows.join(known, F.col(key) == F.col("__key"), "left").where("__results is null").drop("__key", "__results")
+
+
 def due_again(documents: DataFrame, results: DataFrame, where: QueueFilter | None = None, key: str = "id", result_key: str = "document_id") -> DataFrame:
     """Documents with a result, with its id and time; ``reprocess_before`` keeps the older ones."""
     known = results.select(F.col(result_key).alias(key), F.col("id").alias("ocr_result_id") if "id" in results.columns else F.col(result_key).alias("ocr_result_id"), "updated_at")

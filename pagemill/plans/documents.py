@@ -14,6 +14,8 @@ from pagemill.operators.regions import region_boxes, regions_of, widened
 from pagemill.operators.upsert import staged, upserted
 from pagemill.plans.catalogue import registered
 from pagemill.sources.tables import table
+from pagemill.streaming import apply as streams
+from pagemill.streaming.queue import Queue, ResultSink
 
 LINE = "struct<text:string,confidence:double,bbox:array<array<double>>>"
 
@@ -112,13 +114,14 @@ def missing_pages(spark, sf):
     return not_arrived(expected, seen).select("job_id", "page")
 
 
-@registered("""SELECT coalesce(d.doc_id, l.doc_id) AS document_id, CASE WHEN l.doc_id IS NOT NULL THEN 'q' || l.quality ELSE d.lang END AS full_text, CASE WHEN l.doc_id IS NOT NULL THEN l.toxic ELSE d.n_chars END::INTEGER AS pages,
-CASE WHEN l.doc_id IS NOT NULL THEN 95.0 ELSE 50.0 END AS confidence, CASE WHEN l.doc_id IS NULL THEN 'old' WHEN d.doc_id IS NULL THEN 'added' ELSE 'updated' END AS change
-FROM (SELECT * FROM documents WHERE n_chars >= 1000) d FULL JOIN labels l ON d.doc_id = l.doc_id""")
+@registered("""SELECT coalesce(d.doc_id, o_orderkey) AS document_id, CASE WHEN o_orderkey IS NOT NULL THEN o_orderpriority ELSE d.lang END AS full_text, CASE WHEN o_orderkey IS NOT NULL THEN o_custkey % 10 ELSE d.n_chars END::INTEGER AS pages,
+CASE WHEN o_orderkey IS NOT NULL THEN 95.0 ELSE 50.0 END AS confidence, CASE WHEN o_orderkey IS NULL THEN 'old' WHEN d.doc_id IS NULL THEN 'added' ELSE 'updated' END AS change
+FROM documents d FULL JOIN orders ON d.doc_id = o_orderkey""")
 def upsert_result(spark, sf):
+    """Documents as the table, orders as the batch."""
     old, now = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
-    target = table(spark, sf, "documents").where("n_chars >= 1000").select(F.col("doc_id").alias("document_id"), F.col("lang").alias("full_text"), F.col("n_chars").cast("int").alias("pages"), F.lit(50.0).alias("confidence"), old.alias("created_at"), old.alias("updated_at"))
-    batch = table(spark, sf, "labels").select(F.col("doc_id").alias("document_id"), F.concat(F.lit("q"), "quality").alias("full_text"), F.col("toxic").cast("int").alias("pages"), F.lit(None).cast("double").alias("confidence"))
+    target = table(spark, sf, "documents").select(F.col("doc_id").alias("document_id"), F.col("lang").alias("full_text"), F.col("n_chars").cast("int").alias("pages"), F.lit(50.0).alias("confidence"), old.alias("created_at"), old.alias("updated_at"))
+    batch = table(spark, sf, "orders").select(F.col("o_orderkey").alias("document_id"), F.col("o_orderpriority").alias("full_text"), (F.col("o_custkey") % 10).cast("int").alias("pages"), F.lit(None).cast("double").alias("confidence"))
     rows = upserted(target, staged(batch), now=now)
     change = F.when(F.col("updated_at") == old, "old").when(F.col("created_at") == now, "added").otherwise("updated")
     return rows.select("document_id", "full_text", "pages", "confidence", change.alias("change"))
@@ -263,21 +266,23 @@ def ctc_decode(spark, sf):
     return rows.select("vec_id", "d.text", F.round("d.confidence", 6).alias("confidence"))
 
 
-QUADS = "[[embedding[1], embedding[2]], [embedding[3], embedding[4]], [embedding[5], embedding[6]], [embedding[7], embedding[8]]]"
+QUADS = "[[embedding[8 * k + 1], embedding[8 * k + 2]], [embedding[8 * k + 3], embedding[8 * k + 4]], [embedding[8 * k + 5], embedding[8 * k + 6]], [embedding[8 * k + 7], embedding[8 * k + 8]]]"
 
 
-@registered(f"""WITH q AS (SELECT vec_id, list_transform({QUADS}, lambda p: [p[1]::DOUBLE, p[2]::DOUBLE]) AS p FROM embeddings),
-s AS (SELECT vec_id, list_transform(list_sort(list_transform(range(1, 5), lambda i: {{'x': p[i][1], 'i': i}})), lambda e: p[e.i]) AS p FROM q),
-c AS (SELECT vec_id, CASE WHEN p[2][2] > p[1][2] THEN p[1] ELSE p[2] END AS a, CASE WHEN p[4][2] > p[3][2] THEN p[3] ELSE p[4] END AS b, CASE WHEN p[4][2] > p[3][2] THEN p[4] ELSE p[3] END AS c, CASE WHEN p[2][2] > p[1][2] THEN p[2] ELSE p[1] END AS d FROM s)
-SELECT vec_id, round(a[1], 6) AS left_x, round(b[2], 6) AS right_y, round(c[1], 6) AS low_x, round(d[2], 6) AS low_y, round(least(sqrt((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2), sqrt((b[1] - c[1]) ** 2 + (b[2] - c[2]) ** 2)), 6) AS side,
+@registered(f"""WITH q AS (SELECT vec_id, k::INTEGER AS quad, list_transform({QUADS}, lambda p: [p[1]::DOUBLE, p[2]::DOUBLE]) AS p FROM embeddings, LATERAL (SELECT unnest(range(8)) AS k)),
+s AS (SELECT vec_id, quad, list_transform(list_sort(list_transform(range(1, 5), lambda i: {{'x': p[i][1], 'i': i}})), lambda e: p[e.i]) AS p FROM q),
+c AS (SELECT vec_id, quad, CASE WHEN p[2][2] > p[1][2] THEN p[1] ELSE p[2] END AS a, CASE WHEN p[4][2] > p[3][2] THEN p[3] ELSE p[4] END AS b, CASE WHEN p[4][2] > p[3][2] THEN p[4] ELSE p[3] END AS c, CASE WHEN p[2][2] > p[1][2] THEN p[2] ELSE p[1] END AS d FROM s)
+SELECT vec_id, quad, round(a[1], 6) AS left_x, round(b[2], 6) AS right_y, round(c[1], 6) AS low_x, round(d[2], 6) AS low_y, round(least(sqrt((a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2), sqrt((b[1] - c[1]) ** 2 + (b[2] - c[2]) ** 2)), 6) AS side,
 least(greatest(round_even(c[1] / 2.0 * 640, 0)::INTEGER, 0), 640) AS pixel_x FROM c""")
 def box_corners(spark, sf):
     v = F.col("embedding").cast("array<double>")
-    points = F.array(*[F.array(v[2 * k], v[2 * k + 1]) for k in range(4)])
-    rows = table(spark, sf, "embeddings").select("vec_id", geometry.ordered_corners(points).alias("c"))
+    at = lambda k: F.get(v, F.col("quad") * 8 + k)
+    points = F.array(*[F.array(at(2 * k), at(2 * k + 1)) for k in range(4)])
+    quads = table(spark, sf, "embeddings").withColumn("quad", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    rows = quads.select("vec_id", "quad", geometry.ordered_corners(points).alias("c"))
     pixels = geometry.scaled_corners(F.col("c"), F.lit(2.0), F.lit(2.0), F.lit(640), F.lit(480))
     named = {"left_x": F.col("c")[0][0], "right_y": F.col("c")[1][1], "low_x": F.col("c")[2][0], "low_y": F.col("c")[3][1], "side": geometry.short_side(F.col("c"))}
-    return rows.select("vec_id", *[F.round(x, 6).alias(n) for n, x in named.items()], pixels[2][0].alias("pixel_x"))
+    return rows.select("vec_id", "quad", *[F.round(x, 6).alias(n) for n, x in named.items()], pixels[2][0].alias("pixel_x"))
 
 
 @registered("""SELECT p_brand, p_partkey FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM part) WHERE nth <= 50 AND p_size >= 3 AND p_retailprice / 1500 >= 0.6 AND p_size * 1.5 >= 9""")
@@ -329,3 +334,37 @@ def text_boxes(spark, sf):
     kept = region_boxes(maps_of(spark, sf), ["vec_id", "page_width", "page_height"], "page_width", "page_height", threshold=0.05, least_score=0.06, most=5)
     inside = F.forall("box", lambda p: p[0].between(0, 640) & p[1].between(0, 480))
     return kept.where(inside).select("vec_id", "region", F.round("side", 6).alias("side"), F.round("score", 6).alias("score"))
+
+
+RESULT = "document_id long, full_text string, pages int, confidence double, processing_time double, ocr_metadata string, created_at timestamp, updated_at timestamp"
+
+
+@registered(f"""WITH {DOCS}, found AS (SELECT p.doc_id, regexp_matches(coalesce(d.full_text, ''), '\\S') AS good, d.full_text, d.pages, d.confidence, p.text FROM documents p LEFT JOIN docs d ON d.conv_id = p.doc_id
+WHERE p.doc_id NOT IN (SELECT doc_id FROM labels) AND (regexp_matches(coalesce(d.full_text, ''), '\\S') OR (p.lang <> 'de' AND regexp_matches(p.text, '\\S'))))
+SELECT doc_id AS document_id, CASE WHEN good THEN full_text ELSE text END AS full_text, CASE WHEN good THEN pages ELSE 1 END AS pages, CASE WHEN good THEN confidence ELSE 50 END::DOUBLE AS confidence, NOT good AS fallback FROM found""")
+def queue_to_results(spark, sf):
+    """From pending documents to saved results: pages of the queue, texts by file name, a second reading of what is blank, and an upsert; the run breaks off after a page and goes on."""
+    docs = table(spark, sf, "documents")
+    waiting = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti").select(F.col("doc_id").alias("document_id"), F.col("n_chars").alias("recorded_at"))
+    name = lambda folder, c: F.concat(F.lit(folder), F.lpad(F.col(c).cast("string"), 9, "0"), F.lit(".pdf"))
+    read = results.documents_of(turns(spark, sf), ["conv_id"]).select(name("/data/", "conv_id").alias("path"), F.col("conv_id").alias("ordinal"), "full_text", "pages", "confidence")
+    folder = streams.shared_dir(spark)
+
+    def again(keys):
+        text = F.when(F.col("lang") != "de", F.col("text")).otherwise("").alias("full_text")
+        return docs.join(keys, F.col("doc_id") == F.col("document_id")).select("document_id", text, F.lit(1).alias("pages"), F.lit(50.0).alias("confidence"), F.lit("{}").alias("ocr_metadata"))
+
+    def handle(page, number):
+        own = results.texts_for(page.select("document_id", name("/other/", "document_id").alias("target")), read).select("document_id", "full_text")
+        rest = read.select(F.col("ordinal").alias("document_id"), "pages", "confidence")
+        own = own.join(rest, "document_id", "left").withColumns({"full_text": F.coalesce("full_text", F.lit("")), "ocr_metadata": F.to_json(F.struct(F.lit("engine").alias("engine")))})
+        saved = with_second_pass(own, again, dpi=300).withColumn("processing_time", F.lit(0.0))
+        if ResultSink(spark, folder, RESULT).save(saved, number, "queue") is None:
+            raise RuntimeError("a page wasn't saved")
+
+    size = min(100_000, max(200, waiting.count() // 3 + 1))
+    queue = Queue(spark, folder, waiting, "recorded_at", "document_id", size)
+    queue.run(handle, most_pages=1)
+    Queue(spark, folder, waiting, "recorded_at", "document_id", size).run(handle)
+    fallback = F.coalesce(F.get_json_object("ocr_metadata", "$.fallback").cast("boolean"), F.lit(False))
+    return ResultSink(spark, folder, RESULT).read().select("document_id", "full_text", "pages", F.round("confidence", 6).alias("confidence"), fallback.alias("fallback"))

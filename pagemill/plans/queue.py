@@ -38,7 +38,7 @@ def due(spark, sf) -> DataFrame:
 
 
 @registered("""SELECT o_orderkey AS id, o_custkey::VARCHAR AS source_document_id, o_orderpriority AS document_type, NULL::VARCHAR AS book_page_number, o_orderdate AS recorded_at, o_orderdate AS created_at, o_orderstatus AS pdf_url, NULL::VARCHAR AS legal_description,
-l_orderkey AS ocr_result_id FROM orders JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 7) r ON o_orderkey = l_orderkey WHERE o_orderpriority NOT IN ('UNUSED FILE NUMBER', 'BLANK') AND o_orderstatus IS NOT NULL""")
+l_orderkey AS ocr_result_id FROM orders JOIN (SELECT DISTINCT l_orderkey FROM lineitem) r ON o_orderkey = l_orderkey WHERE o_orderpriority NOT IN ('UNUSED FILE NUMBER', 'BLANK') AND o_orderstatus IS NOT NULL""")
 def queue_fields(spark, sf):
     """Documents that are due again, as the queue shows them; only those with a URL."""
     none = F.lit(None).cast("string")
@@ -46,7 +46,7 @@ def queue_fields(spark, sf):
         F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("source_document_id"), F.col("o_orderpriority").alias("document_type"), none.alias("book_page_number"),
         F.col("o_orderdate").alias("recorded_at"), F.col("o_orderdate").alias("created_at"), F.col("o_orderstatus").alias("pdf_url"), none.alias("legal_description"),
     )
-    results = table(spark, sf, "lineitem").where("l_linenumber = 7").select(F.col("l_orderkey").alias("document_id"), F.lit(None).cast("timestamp").alias("updated_at")).distinct()
+    results = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("document_id"), F.lit(None).cast("timestamp").alias("updated_at")).distinct()
     return workqueue.queue_fields(workqueue.due_again(docs, results))
 
 
@@ -60,7 +60,8 @@ def pending_anti(spark, sf):
 
 @registered("SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey WHERE l_orderkey IS NULL")
 def pending_left_isnull(spark, sf):
-    return waiting(spark, sf)
+    """The older form of the queue: an outer join, and of it the rows without a result."""
+    return workqueue.pending_by_outer_join(orders(spark, sf), table(spark, sf, "lineitem"), EVERY, "o_orderkey", "l_orderkey").select(*SHOWN)
 
 
 @registered("SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

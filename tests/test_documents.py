@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import geometry, paths, texts
 from pagemill.functions.json import merged
 from pagemill.operators import accuracy, pageplan, recognition, results
+from tests.engine import PlainTextEngine
 
 
 def col(spark, values, kind="string"):
@@ -131,7 +132,7 @@ def test_document_figures_keep_empty_pages(spark):
 
 def test_recognition_and_the_second_pass(spark):
     pages = spark.createDataFrame([(1, 0, b"one\ntwo"), (1, 1, None), (2, 0, b""), (3, 0, b"")], "document_id int, page int, image binary")
-    read = recognition.recognised(pages, recognition.PlainTextEngine).withColumn("path", F.lit("p"))
+    read = recognition.recognised(pages, PlainTextEngine).withColumn("path", F.lit("p"))
     first = results.documents_of(read, ["document_id"])
     assert {r["document_id"]: (r["full_text"], r["pages"], round(r["confidence"], 6)) for r in first.collect()} == {1: ("one\ntwo", 2, 90.0), 2: ("", 1, 0.0), 3: ("", 1, 0.0)}
     again = lambda keys: keys.select("document_id", F.when(F.col("document_id") == 2, "found").otherwise(" ").alias("full_text"), F.lit(1).alias("pages"), F.lit(50.0).alias("confidence"))
