@@ -368,3 +368,14 @@ def queue_to_results(spark, sf):
     Queue(spark, folder, waiting, "recorded_at", "document_id", size).run(handle)
     fallback = F.coalesce(F.get_json_object("ocr_metadata", "$.fallback").cast("boolean"), F.lit(False))
     return ResultSink(spark, folder, RESULT).read().select("document_id", "full_text", "pages", F.round("confidence", 6).alias("confidence"), fallback.alias("fallback"))
+
+
+@registered("""WITH p AS (SELECT vec_id, list_sort(list_transform(range(32), lambda k: {'y': embedding[2 * k + 2], 'x': embedding[2 * k + 1], 'k': k})) AS l FROM embeddings)
+SELECT vec_id, list_aggregate(list_transform(l, lambda e: e.k::VARCHAR), 'string_agg', ' ') AS reading FROM p""")
+def reading_order(spark, sf):
+    """Numbers as the first corners of lines, read from above to below and from left to right."""
+    v = F.col("embedding").cast("array<double>")
+    box = lambda k: F.array(F.array(F.get(v, k * 2), F.get(v, k * 2 + 1)))
+    lines = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.struct(k.cast("string").alias("text"), F.lit(1.0).alias("confidence"), box(k).alias("bbox")))
+    rows = table(spark, sf, "embeddings").select("vec_id", texts.reading_order(lines).alias("l"))
+    return rows.select("vec_id", F.array_join(F.transform("l", lambda x: x["text"]), " ").alias("reading"))

@@ -12,6 +12,8 @@ from pagemill.operators.results import by_suffix
 from pagemill.operators.workqueue import QueueFilter
 from pagemill.plans.catalogue import registered
 from pagemill.sources.tables import sampled, table
+from pagemill.streaming import apply as streams
+from pagemill.streaming.queue import Queue
 
 NAMES = {"id": "o_orderkey", "document_type": "o_orderpriority", "recorded_at": "o_orderdate", "created_at": "o_orderdate"}
 SHOWN = ["o_orderkey", "o_orderdate", "o_orderpriority"]
@@ -207,3 +209,18 @@ def suffix_lookup(spark, sf):
 def seeded_sample(spark, sf):
     """A top-k report: 100 files by the digest of their name and a seed."""
     return sampled(table(spark, sf, "pages").select(F.col("url").alias("path"), "page_id"), 100)
+
+
+@registered(f"WITH p AS ({PENDING}), n AS (SELECT *, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) - 1 AS nth, count(*) OVER () AS every FROM p) SELECT o_orderkey, (nth // greatest(100, every // 3 + 1))::BIGINT AS page FROM n")
+def queue_in_pages(spark, sf):
+    """The pending orders page by page, newest first; the run breaks off after a page and goes on."""
+    rows, folder = waiting(spark, sf), streams.shared_dir(spark)
+    pages = streams.VersionedTable(spark, f"{folder}/pages", "o_orderkey long, page long", "o_orderkey")
+    size = min(100_000, max(100, rows.count() // 3 + 1))
+
+    def handle(page, number):
+        pages.update(lambda old, new: old.unionByName(new), page.select("o_orderkey", F.lit(number).cast("long").alias("page")), number, "queue")
+
+    for most in (1, None):
+        Queue(spark, folder, rows, "o_orderdate", "o_orderkey", size).run(handle, most)
+    return pages.read()

@@ -208,4 +208,29 @@ def upsert_versions(spark, sf):
         kept = streams.VersionedTable(spark, folder, schema, "document_id")
         kept.update(change, orders.where(F.col("o_orderkey") % 3 == k).withColumn("document_id", F.col("o_custkey")), k)
         kept.update(change, orders.where(F.col("o_orderkey") % 3 == k).withColumn("document_id", F.col("o_custkey")), k)  # comes again, counts once
-    return kept.read().drop("last_key")
\ No newline at end of file
+    return kept.read().drop("last_key")
+
+@registered("""WITH e AS (SELECT o_orderkey AS job_id, o_orderdate AS ended, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'failed' ELSE 'processing' END AS status FROM orders),
+n AS (SELECT *, row_number() OVER (ORDER BY ended DESC, job_id DESC) AS nth, max(ended) OVER () AS clock FROM e WHERE status <> 'processing') SELECT job_id, ended, status FROM n WHERE nth <= 100 AND clock - ended <= INTERVAL 20 DAY""")
+def stream_retention(spark, sf):
+    """Orders as a stream of jobs: of all that ended the newest hundred, none more than twenty days older than the newest."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table(spark, sf, "orders").schema)
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "failed").otherwise("processing")
+    jobs_ = streams.file_stream(spark, sf, "orders.parquet", schema).select(F.col("o_orderkey").alias("job_id"), F.col("o_orderdate").cast("timestamp").alias("ended"), status.alias("status"))
+    folder = streams.shared_dir(spark)
+    kept = streams.VersionedTable(spark, f"{folder}/kept", "job_id long, ended timestamp, status string", "job_id", 1)
+    streams.run_through(jobs_, streams.newest_ended(kept, f"{folder}/gone", 100, 20 * 86400), f"{folder}/offsets")
+    return kept.read()
+
+
+@registered("""WITH e AS (SELECT user_id AS job_id, ts AS polled_at, event_type, event_type = 'error' AS missed, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+r AS (SELECT *, n - row_number() OVER (PARTITION BY job_id, missed ORDER BY n) AS island FROM e), k AS (SELECT *, row_number() OVER (PARTITION BY job_id, missed, island ORDER BY n) AS k FROM r)
+SELECT job_id, polled_at, CASE WHEN missed THEN CASE WHEN k % 3 = 0 THEN 'abandoned' ELSE 'wait' END WHEN event_type IN ('view', 'click') THEN 'complete' WHEN event_type = 'signup' THEN 'failed' ELSE 'wait' END AS action,
+CASE WHEN missed THEN (k - 1) % 3 + 1 ELSE 0 END::INTEGER AS not_found FROM k""")
+def stream_polls(spark, sf):
+    """Events as a stream of polls: how often in a row a job wasn't found, and what each poll means."""
+    kind = F.col("event_type")
+    status = F.when(kind.isin("view", "click"), "completed").when(kind == "signup", "failed").otherwise("processing")
+    polls = streams.file_stream(spark, sf, "events.parquet", EVENTS).select(F.col("user_id").alias("job_id"), F.col("ts").alias("at"), status.alias("status"), F.when(kind == "error", "404").alias("error"), F.lit(0.0).alias("age"), F.lit(0).alias("processed"), F.lit(0).alias("dropped"), F.lit(5).alias("total"))
+    kept = streams.VersionedTable(spark, streams.shared_dir(spark), streams.ACTIONS, "job_id")
+    return streams.applied(streams.poll_stream(polls), kept, lambda old, new: old.unionByName(new)).withColumnRenamed("at", "polled_at")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,7 +87,3 @@ def sampled_windows(samples: DataFrame, at: str, value: Column, every: str = "2
     """Mean and number of samples in tumbling windows: rows (start, mean, samples)."""
     own = samples.groupBy(F.window(at, every).alias("w")).agg(F.avg(value).alias("mean"), F.count(value).alias("samples"))
     return own.select(F.col("w.start").alias("start"), "mean", "samples")
-
-
-def row_json(**fields) -> str:
-    return json.dumps(fields, ensure_ascii=False)

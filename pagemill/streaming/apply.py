@@ -9,10 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from pagemill import session
-from pagemill.streaming.states import COUNTED, job_states, newest_ended, poll_stream, replaced, summed, tracked, with_status
+from pagemill.streaming.states import ACTIONS, COUNTED, job_states, newest_ended, poll_stream, replaced, summed, tracked, with_status
 from pagemill.streaming.versioned import Change, VersionedTable
 
-__all__ = ["COUNTED", "Change", "VersionedTable", "applied", "file_stream", "job_states", "newest_ended", "poll_stream", "replaced", "run_through", "shared_dir", "summed", "tracked", "with_status"]
+__all__ = ["ACTIONS", "COUNTED", "Change", "VersionedTable", "applied", "file_stream", "job_states", "newest_ended", "poll_stream", "replaced", "run_through", "shared_dir", "summed", "tracked", "with_status"]
 
 
 def shared_dir(spark: SparkSession) -> str:

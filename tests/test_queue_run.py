@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagemill.functions.json import merged
-from pagemill.operators import metrics, pageplan, results, workqueue
+from pagemill.operators import accuracy, metrics, pageplan, results, workqueue
 from pagemill.operators.upsert import Breaker
 from pagemill.sources.tables import table
 from pagemill.streaming.queue import Queue, ResultSink
@@ -117,3 +117,10 @@ def test_texts_are_joined_last(spark):
     targets = spark.createDataFrame([("/a/x.pdf",), ("/q/x.pdf",), ("/q/y.pdf",), ("/q/z.pdf",)], "target string")
     got = {r["target"]: r["full_text"] for r in results.texts_for(targets, docs).collect()}
     assert got == {"/a/x.pdf": "first", "/q/x.pdf": "earlier", "/q/y.pdf": "", "/q/z.pdf": None}
+
+
+def test_a_comparison_is_written_side_by_side(spark, tmp_path):
+    rows = spark.createDataFrame([("a.pdf", 1, "x", 2, "y"), ("b.pdf", None, None, 3, "z")], "path string, first_pages int, first_text string, second_pages int, second_text string")
+    accuracy.save_comparison(rows, str(tmp_path / "c"))
+    got = sorted(map(str, (tuple(r) for r in spark.read.schema("engine string, path string, pages int, text string").json(str(tmp_path / "c")).collect())))
+    assert got == sorted(map(str, [("first", "a.pdf", 1, "x"), ("first", "b.pdf", None, None), ("second", "a.pdf", 2, "y"), ("second", "b.pdf", 3, "z")]))
