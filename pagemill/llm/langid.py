@@ -58,30 +58,42 @@ class Gru:
     def parameters(self) -> list[np.ndarray]:
         return [self.x, self.zr, self.n]
 
+    @np.errstate(over="ignore")
     def forward(self, codes: np.ndarray, keep: bool = False):
         """States after each step, time first; ``codes`` are (time, lanes). Padding keeps the state."""
         steps, lanes = codes.shape
         hidden = self.n.shape[0]
+        one, two = np.float32(1), np.float32(2)
+        # A table and a matrix for each gate, so all arrays are whole, with the signs and factors that
+        # exponentials want: a sigmoid is 1 / (1 + exp(-a)), a tanh 1 - 2 / (1 + exp(2a)).
+        cut = lambda w, k: np.ascontiguousarray(w[:, k * hidden : (k + 1) * hidden])
+        (xz, xr), xn = (-cut(self.x, k) for k in (0, 1)), cut(self.x, 2) * two
+        (wz, wr), wn = (-cut(self.zr, k) for k in (0, 1)), self.n * two
         h = np.zeros((lanes, hidden), np.float32)
+        x = np.empty((lanes, hidden), np.float32)
         states = np.empty((steps, lanes, hidden), np.float32)
         saved = []
         for t in range(steps):
-            x = self.x[codes[t]]
-            zr = h @ self.zr
-            zr += x[:, : 2 * hidden]
-            zr *= 0.5
-            np.tanh(zr, out=zr)
-            zr *= 0.5
-            zr += 0.5
-            z, r = zr[:, :hidden], zr[:, hidden:]
+            z, r = h @ wz, h @ wr
+            for gate, inputs in ((z, xz), (r, xr)):
+                gate += np.take(inputs, codes[t], axis=0, out=x, mode="clip")
+                np.exp(gate, out=gate)
+                gate += one
+                np.divide(one, gate, out=gate)
             rh = r * h
-            n = rh @ self.n
-            n += x[:, 2 * hidden :]
-            np.tanh(n, out=n)
+            n = rh @ wn
+            n += np.take(xn, codes[t], axis=0, out=x, mode="clip")
+            np.exp(n, out=n)
+            n += one
+            np.divide(-two, n, out=n)
+            n += one
             if keep:
                 saved.append((h, z, r, rh, n))
-            h = n + z * (h - n)
-            states[t] = h
+            own = states[t]  # n + z * (h - n)
+            np.subtract(h, n, out=own)
+            own *= z
+            own += n
+            h = own
         return states, saved
 
     def backward(self, codes: np.ndarray, saved: list, grads: np.ndarray) -> list[np.ndarray]:
