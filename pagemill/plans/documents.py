@@ -363,9 +363,10 @@ def queue_to_results(spark, sf):
             raise RuntimeError("a page wasn't saved")
 
     size = min(100_000, max(200, waiting.count() // 3 + 1))
-    queue = Queue(spark, folder, waiting, "recorded_at", "document_id", size)
-    queue.run(handle, most_pages=1)
-    Queue(spark, folder, waiting, "recorded_at", "document_id", size).run(handle)
+    queue = lambda: Queue(spark, folder, waiting, "recorded_at", "document_id", size)
+    queue().run(handle, most_pages=1)
+    if queue().place()[1] is not None:  # else one page was all
+        queue().run(handle)
     fallback = F.coalesce(F.get_json_object("ocr_metadata", "$.fallback").cast("boolean"), F.lit(False))
     return ResultSink(spark, folder, RESULT).read().select("document_id", "full_text", "pages", F.round("confidence", 6).alias("confidence"), fallback.alias("fallback"))
 
