@@ -10,6 +10,12 @@ is a finding, or of the templates that fit there the one that agrees in more wor
 taken out and the rest of the block is searched again. Else the next best is tried. Templates that save
 equally many bytes are tried in their order here.
 
+Some words decide which license a text is: names, version numbers, NC, SA, ND and the like
+(``DECIDING``). A text that lacks one of a template's, or has another one among its words, is no
+finding of that template, however alike it is; ``2.0`` and ``v2`` are the number ``2``. A list of
+conditions that goes on with one of ``FURTHER`` isn't the shorter license, and a notice that a
+word of ``DENYING`` stands before in its sentence is none. ``after`` has the words that follow.
+
 Only texts that hold a licensing word reach Python, the search is a scan without a shuffle, and a
 worker remembers the findings of blocks it has met, so a notice that a third of all documents carry
 is compressed once for each worker.
@@ -59,8 +65,40 @@ TEMPLATES = {
     "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
     "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/.",
+    "LGPL-3.0-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "LGPL-2.1-notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-4.0-long-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "Apache-2.0-text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "GPL-2.0-text": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-3.0-text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-2.1-text": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0-text": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "AGPL-3.0-text": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
     "CC0-1.0-header": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see http://creativecommons.org/publicdomain/zero/1.0/.",
 }
+#: The BSD licenses differ in their conditions, each with or without the disclaimer.
+CONDITIONS = TEMPLATES["BSD-2-Clause"]
+ENDORSING, DISCLAIMER = TEMPLATES["BSD-3-Clause-full"].removeprefix(CONDITIONS).split(" THIS SOFTWARE IS ")
+ADVERTISING = " All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
+TEMPLATES["BSD-3-Clause"] = CONDITIONS + ENDORSING
+TEMPLATES["BSD-4-Clause"] = CONDITIONS + ADVERTISING + ENDORSING
+TEMPLATES["BSD-4-Clause-full"] = f"{TEMPLATES['BSD-4-Clause']} THIS SOFTWARE IS {DISCLAIMER}"
+
+# Words that tell licenses apart, besides numbers.
+DECIDING = frozenset("mit bsd isc apache lesser affero mozilla mpl eclipse cc cc0 commons attribution noncommercial sharealike noderivatives noderivs nc sa nd endorse advertising modified not never".split())
+# Words of further conditions, and words that deny what follows them.
+FURTHER = frozenset(["advertising", "endorse"])
+DENYING = frozenset("not never no neither nor cannot isn't aren't wasn't weren't isn’t aren’t wasn’t weren’t".split())
+#: Words behind a list of conditions in which a further one shows, and words before a notice in which it is denied.
+FOLLOWING, BEFORE = 40, 3
+#: Words of ``after``.
+AFTER = 12
 CUE = r"(?i)licen[cs]e|copyright|warrant|permission|redistribut|public[^\p{L}\p{N}]+domain|spdx|©"
 #: Share of a template's words that may be missing or added.
 ALLOWED = 0.2
@@ -72,6 +110,8 @@ LEVEL = 6
 
 WORD = regex.compile(r"[\p{L}\p{N}]+(?:[.'’-][\p{L}\p{N}]+)*")
 MARK = regex.compile(CUE)
+NUMBER = regex.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)*")
+BREAK = regex.compile(r"[.!?;:]|\n[^\p{L}\p{N}]*\n")
 
 
 def reach_of(templates: dict[str, str]) -> int:
@@ -101,6 +141,17 @@ def blocks_of(text: str, reach: int = REACH) -> Iterator[tuple[int, int]]:
         yield places[first][0], places[last - 1][1]
 
 
+def deciding(words: list[str]) -> Counter:
+    """The deciding words among ``words``, a compound's parts each for itself, and numbers without ``v`` and ``.0``."""
+    out = Counter()
+    for word in words:
+        if number := NUMBER.fullmatch(word):
+            out[number[1]] += 1
+        else:
+            out.update(part for part in word.split("-") if part in DECIDING)
+    return out
+
+
 class Template:
     """A template's words, how many may differ, and how long a run of them a finding has at least."""
 
@@ -108,6 +159,7 @@ class Template:
         self.name = name
         self.words = [w.lower() for w in WORD.findall(text)]
         self.counts = [*Counter(self.words).items()]
+        self.further = FURTHER.difference(self.words) if "redistributions" in self.words else frozenset()
         self.allowed = int(ALLOWED * len(self.words) + 1e-9)
         self.run = -(-(len(self.words) - self.allowed) // (self.allowed + 1))
         given = zstandard.ZstdCompressionDict(" ".join(self.words).encode("utf-8"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -124,6 +176,12 @@ class Template:
                     return False
         return True
 
+    @staticmethod
+    def decided(missing: list[str], added: list[str], behind: list[str]) -> bool:
+        """Whether no deciding word is missing, if not just behind in another form, and none but numbers, such as a list's, is added."""
+        lost, new = deciding(missing) - deciding(behind), deciding(added)
+        return not lost - new and not any(word in DECIDING for word in new - lost)
+
     def place(self, words: list[str]) -> tuple[int, int, list[str], list[str]] | None:
         """A place in ``words`` that fits: around the longest equal run, else before or after it."""
         parts = [(0, len(words))]
@@ -136,7 +194,7 @@ class Template:
             if core.size < max(1, self.run):
                 continue
             i, j, missing, added = wording(self.words, part, core)
-            if len(missing) + len(added) <= self.allowed:
+            if len(missing) + len(added) <= self.allowed and self.decided(missing, added, part[j : j + 1]) and self.further.isdisjoint(words[a + j : a + j + FOLLOWING]):
                 return a + i, a + j, missing, added
             parts += [(a + core.b + core.size, b), (a, a + core.b)]
         return None
@@ -192,7 +250,7 @@ class Scanner:
         return saved, k, fit
 
     def block(self, text: str) -> list[tuple]:
-        """Findings (name, saved, start, end, missing, added) of a block, in characters."""
+        """Findings (name, saved, start, end, missing, added, after) of a block, in characters."""
         key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
         if (known := self.met.get(key)) is not None:
             return known
@@ -204,17 +262,28 @@ class Scanner:
             for name, saved, i, j, missing, added in self.window(words[at : at + self.size]):
                 if not last and at + i >= after:  # the next window has it whole
                     break
-                out.append((name, saved, places[at + i][0], places[at + j - 1][1], missing, added))
+                if not denied(text, places, words, at + i):
+                    out.append((name, saved, places[at + i][0], places[at + j - 1][1], missing, added, words[at + j : at + j + AFTER]))
                 after = max(after, at + j)
             at = len(words) if last else after
         if self.held >= REMEMBERED:
             self.met.clear()
             self.held = 0
-        self.held += 200 + sum(300 + sum(60 + len(w) for w in [*f[4], *f[5]]) for f in out)
+        self.held += 200 + sum(300 + sum(60 + len(w) for w in [*f[4], *f[5], *f[6]]) for f in out)
         self.met[key] = out
         return out
 
 
+def denied(text: str, places: list[tuple[int, int]], words: list[str], at: int) -> bool:
+    """Whether a denying word stands shortly before the word ``at``, in the same sentence."""
+    for k in range(at - 1, max(-1, at - 1 - BEFORE), -1):
+        if BREAK.search(text, places[k][1], places[k + 1][0]):
+            return False
+        if words[k] in DENYING:
+            return True
+    return False
+
+
 def wording(template: list[str], words: list[str], core: Match) -> tuple[int, int, list[str], list[str]]:
     """First and last word (exclusive) of the template's place around the equal run ``core``, words missing and added."""
     slack = len(template) // 5 + 3
@@ -237,17 +306,18 @@ _scanners: dict[tuple, Scanner] = {}
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each finding: the id, license, exact, bytes_saved, start, end, missing, added.
+    """A row for each finding: the id, license, exact, bytes_saved, start, end, missing, added, after.
 
     ``start`` and ``end`` are code points of the text; ``missing`` and ``added`` are the words in
-    which the text differs from the template, ``exact`` says that there are none.
+    which the text differs from the template, ``exact`` says that there are none; ``after`` are
+    the words that follow it in its block.
     """
     chosen = tuple((templates or TEMPLATES).items())
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").rlike(CUE))
     kind = to_arrow_type(docs.schema[id_col].dataType)
     words = pa.list_(pa.string())
-    types = [kind, pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), words, words]
-    names = ["id", "license", "exact", "bytes_saved", "start", "end", "missing", "added"]
+    types = [kind, pa.string(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), words, words, words]
+    names = ["id", "license", "exact", "bytes_saved", "start", "end", "missing", "added", "after"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if chosen not in _scanners:
@@ -257,11 +327,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for a, b in blocks_of(text, scanner.reach):
-                    out += [(key, name, not missing and not added, saved, a + i, a + j, missing, added) for name, saved, i, j, missing, added in scanner.block(text[a:b])]
+                    out += [(key, name, not missing and not added, saved, a + i, a + j, missing, added, after) for name, saved, i, j, missing, added, after in scanner.block(text[a:b])]
             columns = zip(*out, strict=True) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, license string, exact boolean, bytes_saved int, start long, end long, missing array<string>, added array<string>"
+    schema = f"id {docs.schema[id_col].dataType.simpleString()}, license string, exact boolean, bytes_saved int, start long, end long, missing array<string>, added array<string>, after array<string>"
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 

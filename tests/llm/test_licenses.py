@@ -23,7 +23,7 @@ def test_every_planted_notice_is_found_once(spark, sf):
 
 def found(text):
     scanner = licenses.Scanner(licenses.TEMPLATES)
-    return [(n, m, a) for x, y in licenses.blocks_of(text) for n, _, _, _, m, a in scanner.block(text[x:y])]
+    return [(n, m, a) for x, y in licenses.blocks_of(text) for n, _, _, _, m, a, _ in scanner.block(text[x:y])]
 
 
 def test_wording_differences_are_listed():
@@ -81,3 +81,69 @@ def test_odd_rows(spark):
     got = licenses.scan(docs).collect()
     assert sorted((str(r["doc_id"]), r["license"], r["exact"]) for r in got) == [("200", "MIT-notice", True), ("None", "MIT-notice", True)]
     assert licenses.scan(odd.empty(spark)).count() == 0
+
+
+WORK, GNU = "This work is licensed under", "is licensed under the GNU"
+COMMONS = f"{WORK} a Creative Commons"
+GPL, LGPL, BSD = licenses.TEMPLATES["GPL-3.0-header"], licenses.TEMPLATES["LGPL-2.1-header"], licenses.CONDITIONS
+NEAR_MISSES = {
+    f"{COMMONS} Attribution-NonCommercial 4.0 International License.": ["CC-BY-NC-4.0-long-notice"],
+    f"{COMMONS} Attribution-ShareAlike 4.0 International License.": ["CC-BY-SA-4.0-notice"],
+    f"{COMMONS} Attribution-NoDerivatives 4.0 International License.": ["CC-BY-ND-4.0-notice"],
+    f"{COMMONS} Attribution-NonCommercial-ShareAlike 4.0 International License.": ["CC-BY-NC-SA-4.0-notice"],
+    f"{COMMONS} Attribution-NonCommercial-NoDerivatives 4.0 International License.": ["CC-BY-NC-ND-4.0-notice"],
+    f"{COMMONS} Attribution NonCommercial 4.0 International License.": [],
+    f"{COMMONS} Attribution ShareAlike 4.0 International License.": [],
+    f"{COMMONS} Attribution 3.0 International License.": [],
+    f"{COMMONS} Attribution 2.5 International License.": [],
+    f"{COMMONS} 4.0 International License.": [],
+    f"{COMMONS} Attribution v4 International License.": ["CC-BY-4.0-notice"],
+    "Licensed under CC BY-NC-SA 4.0.": [],
+    "Licensed under CC BY-NC 3.0.": [],
+    "Licensed under CC BY-NC.": [],
+    "Licensed under the Apache License, Version 1.1.": [],
+    "Licensed under the Apache License.": [],
+    "Licensed under the License, Version 2.0.": [],
+    f"This work {GNU} General Public License, version 4.": [],
+    f"This work {GNU} General Public License, version 1.": [],
+    f"This work {GNU} General Public License, version 2.0.": ["GPL-2.0-notice"],
+    f"This work {GNU} General Public License, v3.": ["GPL-3.0-notice"],
+    f"This work {GNU} Lesser General Public License, version 3.": ["LGPL-3.0-notice"],
+    f"This work {GNU} Lesser General Public License, version 2.": [],
+    f"This work {GNU} Affero General Public License, version 3.": ["AGPL-3.0-notice"],
+    f"This work {GNU} Affero General Public License, version 2.": [],
+    "It is not released under the MIT License.": [],
+    "It was never released under the MIT License.": [],
+    "It is no longer released under the MIT License.": [],
+    "You may not. Released under the MIT License.": ["MIT-notice"],
+    "Released under the modified MIT License.": [],
+    "Released under the License.": [],
+    "Released under the BSD License.": [],
+    GPL.replace("version 3", "version 4"): [],
+    GPL.replace("General", "Lesser General"): ["LGPL-3.0-header"],
+    LGPL.replace("2.1", "3"): ["LGPL-3.0-header"],
+    LGPL.replace("2.1", "2"): [],
+    LGPL.replace("Lesser", "Affero"): [],
+    BSD + licenses.ENDORSING: ["BSD-3-Clause"],
+    BSD + licenses.ADVERTISING + licenses.ENDORSING: ["BSD-4-Clause"],
+    BSD + licenses.ADVERTISING.replace("the organization", "the many people of a society of writers " * 6): [],
+    licenses.TEMPLATES["MIT"].replace("shall be included", "shall not be included"): [],
+    "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions.": ["Apache-2.0-text"],
+    "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.": ["GPL-3.0-text"],
+    "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007": ["LGPL-3.0-text"],
+    "GNU GENERAL PUBLIC LICENSE\n Version 1, February 1989": [],
+}
+
+
+def test_no_near_miss_is_named_wrongly():
+    assert {text: [f[0] for f in found(text)] for text in NEAR_MISSES} == NEAR_MISSES
+    for text, names in NEAR_MISSES.items():
+        inside = f"Rain fell on the hills all night. {text}\nThe river rose by noon, and the road was closed."
+        assert [f[0] for f in found(inside)] == names, inside
+
+
+def test_lists_may_be_numbered_and_what_follows_is_told():
+    numbered = BSD.replace("met: Redistributions", "met: 1. Redistributions").replace("disclaimer. Redistributions", "disclaimer. 2. Redistributions")
+    assert found(numbered) == [("BSD-2-Clause", [], ["1", "2"])]
+    (finding,) = licenses.Scanner(licenses.TEMPLATES).block("Released under the MIT License. The river rose by noon.")
+    assert finding[6] == ["the", "river", "rose", "by", "noon"]
