@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.functions.json import merged
+from pagemill.functions.json import json_text, merged
 
 # What a result holds where it names nothing.
 DEFAULTS = {"full_text": "", "pages": 0, "confidence": 95.0, "processing_time": 0.0, "ocr_metadata": "{}"}
@@ -19,8 +19,9 @@ class RepeatedKey(ValueError):
 
 
 def staged(results: DataFrame) -> DataFrame:
-    """Results with the defaults for what is null."""
-    return results.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in DEFAULTS.items() if c in results.columns})
+    """Results with the defaults for what is null; metadata may be a text of JSON, a struct or a map."""
+    value = lambda c: json_text(results, c) if c == "ocr_metadata" else F.col(c)
+    return results.withColumns({c: F.coalesce(value(c), F.lit(v)) for c, v in DEFAULTS.items() if c in results.columns})
 
 
 def refuse_repeats(batch: DataFrame, key: str) -> None:

@@ -59,6 +59,15 @@ def test_upsert(spark):
     upsert.refuse_repeats(batch, "document_id")
 
 
+def test_metadata_of_a_batch_is_text_struct_or_map(spark):
+    old = NOW - dt.timedelta(days=1)
+    target = spark.createDataFrame([("a", "x", 1.0, '{"dpi":1,"b":2}', old, old)], RESULT)
+    for meta, want in (("named_struct('dpi', 3, 'model', null)", {"dpi": 3, "model": None}), ("map('dpi', 3)", {"dpi": 3}), ('\'{"dpi":3}\'', {"dpi": 3}), ("cast(null as map<string,int>)", {})):
+        batch = upsert.staged(spark.range(2).selectExpr("if(id = 0, 'a', 'z') AS document_id", "'t' AS full_text", f"{meta} AS ocr_metadata"))
+        got = {r["document_id"]: json.loads(r["ocr_metadata"]) for r in upsert.upserted(target, batch, now=F.lit(NOW)).collect()}
+        assert got == {"a": {"dpi": 1, "b": 2} | want, "z": want}, meta
+
+
 def test_a_row_without_a_key_is_refused(spark):
     schema = "document_id long, full_text string"
     with pytest.raises(Exception, match="has no document_id"):
