@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from pagemill.functions.matching import shares
+
 #: A recognised line: its text, its confidence from 0 to 1 and its corners.
 LINES = "array<struct<text:string,confidence:double,bbox:array<array<double>>>>"
 
@@ -45,7 +45,8 @@ def reading_order(lines: Column) -> Column:
 @F.pandas_udf(DoubleType())
 def matched_share(first: pd.Series, second: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two texts; null where one of them is."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() if isinstance(a, str) and isinstance(b, str) else None for a, b in zip(first, second, strict=True)], dtype=float)
+    there = first.notna() & second.notna()
+    return pd.Series(shares(first[there].tolist(), second[there].tolist()), index=first.index[there], dtype=float).reindex(first.index)
 
 
 def similarity(first: Column | str, second: Column | str) -> Column:

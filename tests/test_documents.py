@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pagemill.functions import geometry, paths, texts
@@ -169,6 +171,61 @@ def test_similarity_equals_a_plain_matcher(spark):
     assert [r["s"] for r in got] == [SequenceMatcher(None, a or "", b or "").ratio() for a, b in rows]
 
 
+LETTERS = st.sampled_from(["ab", "abc \n", "abcdefghijklmnopqrstuvwxyz    ", "".join(chr(0x4E00 + k) for k in range(120)), "a\U0001f388é"])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(LETTERS, st.integers(0, 2**32), st.integers(0, 420), st.integers(0, 420), st.integers(0, 30)), max_size=6), st.sampled_from([3, 40, 1 << 20]))
+def test_common_pieces_of_many_pairs_at_once(made, cells):
+    """Pairs of a block are settled together, whatever number of places is held at a time."""
+    import random
+    from difflib import SequenceMatcher
+
+    from pagemill.functions import matching
+
+    pairs = []
+    for letters, seed, n, m, edits in made:
+        rng = random.Random(seed)
+        a = [rng.choice(letters) for _ in range(n)]
+        b = a[:m] if edits else [rng.choice(letters) for _ in range(m)]
+        for _ in range(edits):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randrange(3)] = [rng.choice(letters) for _ in range(rng.randrange(3))]
+        pairs.append(("".join(a), "".join(b)))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(matching, "CELLS", cells)
+        got = matching.shares([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+
+
+def test_long_texts_are_compared_in_bounded_memory():
+    import random
+    import tracemalloc
+
+    from pagemill.functions import matching
+
+    rng = random.Random(5)
+    letters = [chr(0x4E00 + k) for k in range(150)]
+    a = "".join(rng.choice(letters) for _ in range(30_000))  # six million places with equal characters
+    b = a[:9_000] + a[12_000:] + "".join(rng.choice(letters) for _ in range(3_000))
+    tracemalloc.start()
+    share = matching.shares([a], [b])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert share >= 0.9 and peak < 250e6
+
+
+def test_turns_equal_a_plain_matcher(spark, sf):
+    from difflib import SequenceMatcher
+
+    from pagemill.plans.documents import text_similarity
+    from pagemill.sources.tables import table
+
+    said = {(r["conv_id"], r["turn"]): r["text"] or "" for r in table(spark, sf, "conversations").collect()}
+    got = {(r["conv_id"], r["turn"]): r["similarity"] for r in text_similarity(spark, sf).collect()}
+    assert got == {(c, t): SequenceMatcher(None, x, said[c, t + 1]).ratio() for (c, t), x in said.items() if (c, t + 1) in said}
+
+
 def test_decoding_long_outputs(spark):
     import random
 
