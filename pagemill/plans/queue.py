@@ -39,14 +39,14 @@ def due(spark, sf) -> DataFrame:
     return workqueue.due_again(orders(spark, sf), results, AGAIN, "o_orderkey", "l_orderkey").select("o_orderkey", "o_orderdate", "updated_at")
 
 
-@registered("""SELECT o_orderkey AS id, o_custkey::VARCHAR AS source_document_id, o_orderpriority AS document_type, NULL::VARCHAR AS book_page_number, o_orderdate AS recorded_at, o_orderdate AS created_at, o_orderstatus AS pdf_url, NULL::VARCHAR AS legal_description,
-l_orderkey AS ocr_result_id FROM orders JOIN (SELECT DISTINCT l_orderkey FROM lineitem) r ON o_orderkey = l_orderkey WHERE o_orderpriority NOT IN ('UNUSED FILE NUMBER', 'BLANK') AND o_orderstatus IS NOT NULL""")
+@registered("""SELECT o_orderkey AS id, o_custkey::VARCHAR AS source_document_id, o_orderpriority AS document_type, NULL::VARCHAR AS book_page_number, o_orderdate AS recorded_at, o_orderdate AS created_at, nullif(o_orderstatus, 'P') AS pdf_url, NULL::VARCHAR AS legal_description,
+l_orderkey AS ocr_result_id FROM orders JOIN (SELECT DISTINCT l_orderkey FROM lineitem) r ON o_orderkey = l_orderkey WHERE o_orderpriority NOT IN ('UNUSED FILE NUMBER', 'BLANK') AND nullif(o_orderstatus, 'P') IS NOT NULL""")
 def queue_fields(spark, sf):
-    """Documents that are due again, as the queue shows them; only those with a URL."""
+    """Documents that are due again, as the queue shows them; only those with a URL (the status stands for it, P for none)."""
     none = F.lit(None).cast("string")
     docs = orders(spark, sf).select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("source_document_id"), F.col("o_orderpriority").alias("document_type"), none.alias("book_page_number"),
-        F.col("o_orderdate").alias("recorded_at"), F.col("o_orderdate").alias("created_at"), F.col("o_orderstatus").alias("pdf_url"), none.alias("legal_description"),
+        F.col("o_orderdate").alias("recorded_at"), F.col("o_orderdate").alias("created_at"), F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("pdf_url"), none.alias("legal_description"),
     )
     results = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("document_id"), F.lit(None).cast("timestamp").alias("updated_at")).distinct()
     return workqueue.queue_fields(workqueue.due_again(docs, results))

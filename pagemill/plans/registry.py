@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagemill.plans import documents, queue, runs  # noqa: F401  they register their queries
+from pagemill.plans import documents, files, queue, runs  # noqa: F401  they register their queries
 from pagemill.plans.catalogue import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
