@@ -1,15 +1,16 @@
 """Quality classifier: a byte n-gram model with interpolated modified Kneser-Ney smoothing (operator 1).
 
-Trained on trusted text: documents labelled of good quality and not toxic, at most ``MAX_TRUSTED``
-of them. Four fifths train the model; the rest, which it hasn't seen, give each language's
-perplexity threshold as a quantile. Documents above their language's threshold are rejected.
+Trained on trusted text: all documents labelled of good quality and not toxic, however many. Four
+fifths train the model; the rest, which it hasn't seen, give each language's perplexity threshold
+as an exact quantile. Documents above their language's threshold are rejected.
 
 Counts are sharded by the last two bytes of an n-gram's context. All orders from 3 up that an
 n-gram backs off to share those bytes, so a shard holds every count that its probabilities need;
 orders 1 and 2 are a table of at most 65,536 rows. Tasks cut documents into blocks, send each
 shard the block's distinct n-grams, and get their log probabilities back; so what is shuffled is
 a block's distinct n-grams and not its text's positions. The blocks themselves lie in a bucketed
-table and don't move again.
+table and don't move again: their ids alone are joined with the trusted ones, and which texts of a
+block are trusted is sent to it.
 
 Null texts and empty texts have no bytes: their perplexity is null and they are rejected. A null
 language counts as a language of its own; one with under ``LEAST`` calibration texts gets the
@@ -27,20 +28,20 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pagemill.llm.common import anti_or_semi, blocks, bucketed, crc_mod, discard, gathered, mix, stored, table, trim, unbucketed, utf8
 
 ORDER = 5
-#: Trusted documents to learn from: a bounded sample, by hash of the id.
-MAX_TRUSTED = 40_000
 #: Of five parts of the trusted documents, the one that sets the thresholds.
 PARTS, CALIBRATION = 5, 0
 QUANTILE = 0.995
 #: Calibration texts that a language needs for a threshold of its own.
 LEAST = 50
+#: Of the approximate percentiles that enclose a quantile: how many values an error of one is, and how far off they are.
+ACCURACY, WIDTH = 100_000, 1e-4
 SHARDS = 64
 #: Blocks whose questions to a shard one task answers.
 TOGETHER = 32
@@ -88,12 +89,8 @@ def unpack(data: bytes, kind) -> np.ndarray:
 
 
 def to_blocks(rows: DataFrame) -> DataFrame:
-    """Rows (id, lang, role, text) as blocks.
-
-    A row with ``texts`` for each block; for each block and shard a row with the block's distinct
-    n-grams (``grams``, ascending, as differences) and their counts in its training texts.
-    """
-    id_type = rows.schema["id"].dataType
+    """Rows (key, id, lang, text) as blocks: one row each, with its keys, ids, languages, sizes and texts."""
+    types = [to_arrow_type(rows.schema[c].dataType) for c in ("key", "id")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, task = 0, TaskContext.get().partitionId()
@@ -101,37 +98,51 @@ def to_blocks(rows: DataFrame) -> DataFrame:
             data, offsets = utf8(batch.column(3))
             for start, end in blocks(np.diff(offsets), 2 * BLOCK_BYTES):
                 at = offsets[start : end + 1]
-                yield one(f"{task}-{number}", batch.slice(start, end - start), data[at[0] : at[-1]], at - at[0])
+                yield one(f"{task}-{number}", batch.slice(start, end - start), data[at[0] : at[-1]], np.diff(at))
                 number += 1
                 trim()
 
-    def one(block: str, batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        sizes = np.diff(offsets)
-        role = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int8)
-        codes, distinct = pd.factorize(windows(data, offsets))
-        counts = np.bincount(codes[np.repeat(role == ROLES["train"], sizes + 1)], minlength=len(distinct))
-        del codes
-        shards = shard_of(distinct)
-        order = np.lexsort((distinct, shards))
-        cuts = np.searchsorted(shards[order], np.arange(SHARDS + 1))
-        rows = [(None, None, None)]
-        for s in range(SHARDS):
-            if cuts[s] < cuts[s + 1]:
-                mine = order[cuts[s] : cuts[s + 1]]
-                rows.append((s, np.diff(distinct[mine], prepend=0).tobytes(), counts[mine].astype(np.int32).tobytes() if counts[mine].any() else None))
-        n = len(rows)
-        shard, keys, train = zip(*rows, strict=True)
-        head = lambda x, kind: pa.array([x, *[None] * (n - 1)], kind)
+    def one(block: str, batch: pa.RecordBatch, data: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+        listed = [pa.array([batch.column(k).to_pylist()], pa.list_(t)) for k, t in enumerate([*types, pa.string()])]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * n), head(batch.column(0).to_pylist(), ids_type), head(batch.column(1).to_pylist(), pa.list_(pa.string())), head(role.tobytes(), pa.binary()),
-                head(sizes.tobytes(), pa.binary()), head(pack(data), pa.binary()), pa.array(shard, pa.int32()), pa.array(keys, pa.binary()), pa.array(train, pa.binary()),
-            ],
-            ["block", "ids", "langs", "roles", "sizes", "texts", "shard", "grams", "counts"],
-        )
+            [pa.array([block]), *listed, pa.array([sizes.tobytes()], pa.binary()), pa.array([pack(data)], pa.binary())],
+            ["block", "keys", "ids", "langs", "sizes", "texts"],
+        )
+
+    key, own = (rows.schema[c].dataType.simpleString() for c in ("key", "id"))
+    return rows.mapInArrow(run, f"block string, keys array<{key}>, ids array<{own}>, langs array<string>, sizes binary, texts binary")
 
-    ids_type = pa.list_(to_arrow_type(id_type))
-    return rows.mapInArrow(run, f"block string, ids array<{id_type.simpleString()}>, langs array<string>, roles binary, sizes binary, texts binary, shard int, grams binary, counts binary")
+
+def to_pieces(texts: DataFrame, roles: DataFrame) -> DataFrame:
+    """The n-grams of blocks (block, sizes, texts), given the texts (of_block, place, role) that have a role.
+
+    For each block and shard a row with the block's distinct n-grams (``grams``, ascending, as
+    differences) and their counts in its training texts, if any; for each block a row without a
+    shard that has the roles of all its texts.
+    """
+
+    def cut(held: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for row in held.itertuples():
+            sizes = np.frombuffer(row.sizes, np.int64)
+            role = np.zeros(len(sizes), np.int8)
+            role[named["place"].to_numpy()] = named["role"].to_numpy()
+            codes, distinct = pd.factorize(windows(unpack(row.texts, np.uint8), np.r_[0, np.cumsum(sizes)]))
+            counts = np.bincount(codes[np.repeat(role == ROLES["train"], sizes + 1)], minlength=len(distinct))
+            del codes
+            shards = shard_of(distinct)
+            order = np.lexsort((distinct, shards))
+            cuts = np.searchsorted(shards[order], np.arange(SHARDS + 1))
+            rows.append((row.block, None, None, None, role.tobytes()))
+            for s in range(SHARDS):
+                if cuts[s] < cuts[s + 1]:
+                    mine = order[cuts[s] : cuts[s + 1]]
+                    n = counts[mine].astype(np.int32).tobytes() if counts[mine].any() else None
+                    rows.append((row.block, s, np.diff(distinct[mine], prepend=0).tobytes(), n, None))
+        trim()
+        return pd.DataFrame(rows, columns=["block", "shard", "grams", "counts", "roles"]).astype({"shard": "Int32"})
+
+    return texts.groupBy("block").cogroup(roles.groupBy("of_block")).applyInPandas(cut, "block string, shard int, grams binary, counts binary, roles binary")
 
 
 def grams_of(data: bytes) -> np.ndarray:
@@ -250,17 +261,17 @@ def log_probabilities(query: np.ndarray, grams: np.ndarray, counts: np.ndarray,
 def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, lang_col: str, named: Column | None = None) -> DataFrame:
     """Rows (id, lang, role, n_bytes, log10_prob, perplexity), one for each row of ``docs``.
 
-    ``trusted`` has the column id: at most MAX_TRUSTED ids, which bounds what is broadcast. With
-    ``named``, an expression of ``docs``' columns, rows come out under that name in place of their id.
+    ``trusted`` has the column id; all its ids count. With ``named``, an expression of ``docs``'
+    columns, rows come out under that name in place of their id.
     """
-    spark = docs.sparkSession
-    trusted = trusted.where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(MAX_TRUSTED)
+    trusted = trusted.where("id is not null").distinct()
     trusted = trusted.select("id", F.when(crc_mod("id", PARTS) == CALIBRATION, ROLES["calibrate"]).otherwise(ROLES["train"]).cast("int").alias("role"))
     own = F.col(id_col) if named is None else named
-    rows = docs.select(F.col(id_col).alias("id"), own.alias("own"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    rows = rows.join(F.broadcast(trusted), "id", "left").select(F.col("own").alias("id"), "lang", F.coalesce("role", F.lit(0)).alias("role"), "text")
+    rows = docs.select(F.col(id_col).alias("key"), own.alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     made, name = bucketed(to_blocks(rows), "block", "quality_blocks")
-    model = stored(merge_counts(made.where("counts is not null").select("block", "shard", "grams", "counts")), "quality-model")
+    roles = made.select(F.col("block").alias("of_block"), F.posexplode("keys").alias("place", "id")).join(trusted, "id").select("of_block", "place", "role")
+    pieces = stored(to_pieces(made.select("block", "sizes", "texts"), roles), "quality-pieces")
+    model = stored(merge_counts(pieces.where("counts is not null").select("block", "shard", "grams", "counts")), "quality-model")
     tally = np.zeros(4 * (ORDER - 2), np.int64)
     for r in model.select(F.posexplode("tally").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect():
         tally[r["k"]] = r["n"]
@@ -276,11 +287,12 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str
         return pd.DataFrame({"of_block": asked["block"], "shard": asked["shard"], "logs": logs}, columns=["of_block", "shard", "logs"])
 
     # A shard's model is joined with each group of blocks, so a shard's questions are many tasks.
-    parts = -(-made.where("sizes is not null").count() // TOGETHER) or 1
+    parts = -(-made.count() // TOGETHER) or 1
     few = F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")
-    asked = made.where("grams is not null").select("block", "shard", "grams", few.alias("part"))
+    asked = pieces.where("grams is not null").select("block", "shard", "grams", few.alias("part"))
     held = model.select(F.col("shard").alias("model_shard"), "grams", "counts", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("model_part"))
     answers = asked.groupBy("shard", "part").cogroup(held.groupBy("model_shard", "model_part")).applyInPandas(answer, "of_block string, shard int, logs binary")
+    answers = answers.unionByName(pieces.where("roles is not null").select(F.col("block").alias("of_block"), F.lit(-1).alias("shard"), F.col("roles").alias("logs")))
 
     def settle(texts: pd.DataFrame, logs: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -290,33 +302,50 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str
             begin = np.r_[0, np.cumsum(sizes + 1)[:-1]]
             shards = shard_of(distinct)
             order = np.lexsort((distinct, shards))
-            by_shard = logs.sort_values("shard")["logs"]
+            role, *by_shard = logs.sort_values("shard")["logs"]  # the roles stand at shard -1
             found = np.empty(len(distinct), np.float64)
             found[order] = np.concatenate([np.frombuffer(x, np.float32) for x in by_shard])
             out.append(pd.DataFrame({
-                "id": list(row.ids), "lang": list(row.langs), "role": np.frombuffer(row.roles, np.int8).astype(np.int32),
+                "id": list(row.ids), "lang": list(row.langs), "role": np.frombuffer(role, np.int8).astype(np.int32),
                 "n_bytes": sizes, "log10_prob": np.add.reduceat(found[codes], begin),
             }))
         trim()
         return pd.concat(out) if out else pd.DataFrame({k: [] for k in ("id", "lang", "role", "n_bytes", "log10_prob")})
 
     kind = rows.schema["id"].dataType.simpleString()
-    texts = made.where("texts is not null").select("block", "ids", "langs", "roles", "sizes", "texts")
+    texts = made.select("block", "ids", "langs", "sizes", "texts")
     found = texts.groupBy("block").cogroup(answers.groupBy("of_block")).applyInPandas(settle, f"id {kind}, lang string, role int, n_bytes long, log10_prob double")
     per_byte = -F.col("log10_prob") / (F.col("n_bytes") + 1)
     out = stored(found.withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.pow(F.lit(10.0), per_byte))), "quality-perplexities")
     unbucketed(made, name)
-    discard(model)
+    discard(pieces, model)
     return out
 
 
+def quantiles(rows: DataFrame, by: list[str], value: str, quantile: float) -> DataFrame:
+    """Rows (by, threshold, n): of each group's n values the one of rank ceil(quantile * n), exactly.
+
+    Approximate percentiles to both sides enclose it, ten times as far off as their own error can
+    be; only the values between them, a five-thousandth, are ranked.
+    """
+    counts = rows.groupBy(*by, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    at = [max(0.0, quantile - WIDTH), min(1.0, quantile + WIDTH)]
+    ends = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg(F.percentile_approx(value, at, ACCURACY).alias("__ends"), F.count("*").alias("n"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    near = (counts.join(ends, same) if by else counts.crossJoin(ends)).where(F.col("__v") <= F.col("__ends")[1])
+    # what lies below counts as one value
+    near = near.groupBy(*by, "n", F.greatest("__v", F.col("__ends")[0]).alias("__v")).agg(F.sum("__n").alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(*by).orderBy("__v"))
+    ranked = near.withColumn("__upto", upto).where(F.col("__upto") >= F.ceil(F.lit(quantile) * F.col("n")))
+    return ranked.groupBy(*by, "n").agg(F.min("__v").alias("threshold")).select(*by, "threshold", "n")
+
+
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, named: Column | None = None) -> DataFrame:
     """One row for each row of ``docs``: id (or ``named``), lang, n_bytes, log10_prob, perplexity, threshold, keep."""
     rows = perplexities(docs, trusted, id_col, text_col, lang_col, named)
     calibration = rows.where((F.col("role") == ROLES["calibrate"]) & F.col("perplexity").isNotNull())
-    at = F.percentile_approx("perplexity", quantile, 100_000).alias("threshold")
-    over_all = calibration.agg(at).first()["threshold"]
-    by_lang = calibration.groupBy("lang").agg(at, F.count("*").alias("n")).where(F.col("n") >= LEAST).select(F.col("lang").alias("of_lang"), "threshold")
+    over_all = next((r["threshold"] for r in quantiles(calibration, [], "perplexity", quantile).collect()), None)
+    by_lang = quantiles(calibration, ["lang"], "perplexity", quantile).where(F.col("n") >= LEAST).select(F.col("lang").alias("of_lang"), "threshold")
     rows = rows.join(by_lang, rows["lang"].eqNullSafe(by_lang["of_lang"]), "left")
     threshold = F.coalesce("threshold", F.lit(over_all).cast("double"))
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= threshold, F.lit(True))

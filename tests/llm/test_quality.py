@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pagemill.llm import quality
 from pagemill.llm.common import table
@@ -74,3 +75,28 @@ def test_odd_rows(spark):
     assert quality.classify(odd.empty(spark), ids).count() == 0
     free = quality.classify(docs, ids.limit(0)).collect()  # nothing to learn from: only empty texts go
     assert all(r["keep"] == (r["n_bytes"] > 0) for r in free)
+
+
+def test_every_trusted_document_counts(spark):
+    n = 40_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("a"), F.col("id") % 97).alias("text"), F.lit("en").alias("lang"))
+    got = quality.perplexities(docs, docs.select(F.col("doc_id").alias("id")), "doc_id", "text", "lang").groupBy("role").count().collect()
+    calibrating = sum(zlib.crc32(str(k).encode()) % quality.PARTS == quality.CALIBRATION for k in range(n))
+    assert {r["role"]: r["count"] for r in got} == {quality.ROLES["train"]: n - calibrating, quality.ROLES["calibrate"]: calibrating}
+
+
+def test_quantiles_are_exact(spark):
+    # large and small groups, a null group, and one value that half of the rows have
+    value = F.when(F.col("id") % 4 == 1, 0.5).otherwise(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / float(1 << 40))
+    group = F.when(F.col("id") < 7, "few").when(F.col("id") % 2 == 0, "many")
+    rows = spark.range(300_000).select(group.alias("lang"), value.alias("v")).cache()
+    values = defaultdict(list)
+    for g, v in rows.collect():
+        values[g].append(v)
+    rank = lambda own, q: sorted(own)[math.ceil(q * len(own)) - 1]
+    for q in (0.1, 0.5, quality.QUANTILE, 1.0):
+        got = quality.quantiles(rows, ["lang"], "v", q).collect()
+        assert {r["lang"]: (r["threshold"], r["n"]) for r in got} == {g: (rank(own, q), len(own)) for g, own in values.items()}
+        whole = quality.quantiles(rows, [], "v", q).collect()
+        assert [(r["threshold"], r["n"]) for r in whole] == [(rank(sum(values.values(), []), q), 300_000)]
+    assert quality.quantiles(rows.limit(0), [], "v", 0.5).collect() == []
