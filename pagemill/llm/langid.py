@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import crc_mod, table, trim, utf8
+from pagemill.llm.common import crc_mod, small_batches, stored, table, trim, utf8
 
 WINDOW = 96
 HIDDEN = 12
@@ -131,16 +131,27 @@ class Network:
         return [*self.forth.parameters(), *self.back.parameters(), self.out, self.bias]
 
     def positions(self, codes: np.ndarray, keep: bool = False):
-        """Probabilities at every position, (time, lanes, languages)."""
-        a, saved_a = self.forth.forward(codes, keep)
-        b, saved_b = self.back.forward(codes[::-1], keep)
-        both = np.concatenate([a, b[::-1]], axis=2)
-        logits = both @ self.out
+        """Probabilities at every position, (time, lanes, languages); with ``keep`` what gradients need, too.
+
+        Without it the states of one direction are gone before those of the other are there.
+        """
+        if keep:
+            a, saved_a = self.forth.forward(codes, keep)
+            b, saved_b = self.back.forward(codes[::-1], keep)
+            both = np.concatenate([a, b[::-1]], axis=2)
+            return self.softmax(both @ self.out), both, saved_a, saved_b
+        hidden = self.forth.n.shape[0]
+        logits = self.forth.forward(codes)[0] @ self.out[:hidden]
+        logits += (self.back.forward(codes[::-1])[0] @ self.out[hidden:])[::-1]
+        return self.softmax(logits), None, None, None
+
+    def softmax(self, logits: np.ndarray) -> np.ndarray:
+        """Probabilities in place of the logits, to which the bias is added."""
         logits += self.bias
         logits -= logits.max(axis=2, keepdims=True)
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=2, keepdims=True)
-        return logits, both, saved_a, saved_b
+        return logits
 
     def gradients(self, codes: np.ndarray, labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean cross entropy of all positions that aren't padding, and its gradients."""
@@ -246,7 +257,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             codes, owner = windows_of([t.encode("utf-8") for t in batch["text"]], batch["key"].tolist())
             yield pd.DataFrame({"lang": batch["lang"].to_numpy()[owner], "key": batch["key"].to_numpy()[owner], "codes": [c.astype(np.int16).tobytes() for c in codes]})
 
-    got = chosen.mapInPandas(cut, "lang string, key long, codes binary").toPandas().sort_values(["key", "codes"])
+    with small_batches(labelled.sparkSession):
+        got = chosen.mapInPandas(cut, "lang string, key long, codes binary").toPandas().sort_values(["key", "codes"])
     number = {name: k for k, name in enumerate(languages)}
     network = Network(languages)
     codes = np.frombuffer(b"".join(got["codes"]), np.int16).reshape(-1, WINDOW)
@@ -313,10 +325,13 @@ LEAST_SCORE = 0.4
 
 
 def kept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose language is determined with enough certainty, with all their columns."""
+    """The documents whose language is determined with enough certainty, with all their columns.
+
+    They are written here, so that a worker gets few texts at a time whoever reads them.
+    """
     name = "__language"
     while name.lower() in map(str.lower, docs.columns):
         name += "_"
     found = identify(docs, learned(docs), name=name)
     certain = (F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= LEAST_SCORE)
-    return found.where(certain).drop(name)
+    return stored(found.where(certain).drop(name), "language-kept")

@@ -47,6 +47,8 @@ SHARDS = 64
 TOGETHER = 32
 #: Bytes of text in a block: at least so many (but for a task's last one), twice as many at most.
 BLOCK_BYTES = 4_000_000
+#: Bytes of a block whose n-grams a task holds at a time (or one longer text's).
+PIECE_BYTES = 500_000
 ROLES = {"other": 0, "train": 1, "calibrate": 2}
 
 
@@ -76,6 +78,28 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return grams[wanted]
 
 
+def pieces_of(sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Runs of texts of about PIECE_BYTES: first and end of the texts, and of their places (bytes and end marks)."""
+    ends = np.r_[0, np.cumsum(sizes + 1)]
+    return [(start, end, ends[start], ends[end]) for start, end in blocks(sizes, PIECE_BYTES)]
+
+
+def coded(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At each place of the texts the number of its n-gram, and the distinct n-grams by number.
+
+    Piece after piece, so that little more than the numbers is held of a whole block.
+    """
+    codes = np.empty(len(data) + len(sizes), np.int32)
+    offsets = np.r_[0, np.cumsum(sizes)]
+    distinct = np.zeros(0, np.int64)
+    for start, end, a, b in pieces_of(sizes):
+        own, grams = pd.factorize(windows(data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]))
+        known = len(distinct)
+        numbers, distinct = pd.factorize(np.concatenate([distinct, grams]))  # the known ones keep their numbers
+        codes[a:b] = numbers[known:][own]
+    return codes, distinct
+
+
 def shard_of(grams: np.ndarray) -> np.ndarray:
     return (mix(grams >> 8 & 0xFFFF) % np.uint64(SHARDS)).astype(np.int64)
 
@@ -127,8 +151,10 @@ def to_pieces(texts: DataFrame, roles: DataFrame) -> DataFrame:
             sizes = np.frombuffer(row.sizes, np.int64)
             role = np.zeros(len(sizes), np.int8)
             role[named["place"].to_numpy()] = named["role"].to_numpy()
-            codes, distinct = pd.factorize(windows(unpack(row.texts, np.uint8), np.r_[0, np.cumsum(sizes)]))
-            counts = np.bincount(codes[np.repeat(role == ROLES["train"], sizes + 1)], minlength=len(distinct))
+            codes, distinct = coded(unpack(row.texts, np.uint8), sizes)
+            counts = np.zeros(len(distinct), np.int64)
+            for start, end, a, b in pieces_of(sizes):
+                counts += np.bincount(codes[a:b][np.repeat(role[start:end] == ROLES["train"], sizes[start:end] + 1)], minlength=len(distinct))
             del codes
             shards = shard_of(distinct)
             order = np.lexsort((distinct, shards))
@@ -298,7 +324,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str
         out = []
         for row in texts.itertuples():
             sizes = np.frombuffer(row.sizes, np.int64)
-            codes, distinct = pd.factorize(windows(unpack(row.texts, np.uint8), np.r_[0, np.cumsum(sizes)]))
+            codes, distinct = coded(unpack(row.texts, np.uint8), sizes)
             begin = np.r_[0, np.cumsum(sizes + 1)[:-1]]
             shards = shard_of(distinct)
             order = np.lexsort((distinct, shards))
@@ -307,7 +333,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str
             found[order] = np.concatenate([np.frombuffer(x, np.float32) for x in by_shard])
             out.append(pd.DataFrame({
                 "id": list(row.ids), "lang": list(row.langs), "role": np.frombuffer(role, np.int8).astype(np.int32),
-                "n_bytes": sizes, "log10_prob": np.add.reduceat(found[codes], begin),
+                "n_bytes": sizes, "log10_prob": np.concatenate([np.add.reduceat(found[codes[a:b]], begin[start:end] - a) for start, end, a, b in pieces_of(sizes)]),
             }))
         trim()
         return pd.concat(out) if out else pd.DataFrame({k: [] for k in ("id", "lang", "role", "n_bytes", "log10_prob")})

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,3 +119,20 @@ def test_null_and_repeated_ids_lose_no_language(spark):
     same = langid.train(spark.createDataFrame([(None, "eins zwei drei", "de")] * 3000 + [(7, f"one two {k % 2}", "en") for k in range(3000)], schema))
     p = langid.pooled(same, [b"eins zwei drei", b"one two 1"])
     assert [same.languages[k] for k in p.argmax(1)] == ["de", "en"]
+
+
+def test_prediction_takes_little_memory_and_agrees_with_the_states_of_training():
+    net = langid.Network(["a", "b", "c"], seed=3)
+    text = np.frombuffer(odd.text(4, 120_000).encode(), np.uint8)
+    net.pooled(text[:1000], np.array([0, 1000]))
+    tracemalloc.start()
+    net.pooled(text, np.array([0, len(text)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000_000  # over 40 MB with the states of both directions
+    codes = text[: 96 * 40].reshape(40, 96).T.astype(np.int64)
+    assert np.allclose(net.positions(codes)[0], net.positions(codes, keep=True)[0], atol=1e-6)
+
+
+def test_what_the_stage_keeps_is_written(spark):
+    assert langid.kept(spark, odd.documents(spark), "").inputFiles()

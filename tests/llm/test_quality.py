@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from pagemill.llm import quality
@@ -100,3 +102,19 @@ def test_quantiles_are_exact(spark):
         whole = quality.quantiles(rows, [], "v", q).collect()
         assert [(r["threshold"], r["n"]) for r in whole] == [(rank(sum(values.values(), []), q), 300_000)]
     assert quality.quantiles(rows.limit(0), [], "v", 0.5).collect() == []
+
+
+def test_blocks_are_coded_in_little_memory():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) for _ in range(500)]
+    texts = [b" ".join(words[k] for k in rng.integers(0, 500, n)) for n in [*rng.integers(0, 800, 1700).tolist(), 0, 1, 60_000, 0]]
+    data, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    want, names = pd.factorize(quality.windows(data, np.r_[0, np.cumsum(sizes)]))
+    tracemalloc.start()
+    codes, distinct = quality.coded(data, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(codes, want) and np.array_equal(distinct, names)
+    assert peak < 14 * len(data)  # all n-grams at once take over 20 bytes a place
+    none, empty = quality.coded(np.zeros(0, np.uint8), np.zeros(0, np.int64))
+    assert not len(none) and not len(empty)
