@@ -1,81 +1,125 @@
 """Jobs in a stream: pages counted once, polls counted until a good one, and the newest ended jobs.
 
-State is kept by key on disk (the state store's), read and written a piece at a time.
+State is kept by key on disk (the state store's), and only the keys of a batch are read and written.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pagemill.functions.texts import is_not_found
 from pagemill.operators.jobs import ENDED, polled, status_of
 from pagemill.streaming.versioned import VersionedTable, writer_of
 
-#: Pages of one entry of the state (a bit each), and parts that a job's entries are dealt into.
+#: Pages of one range of a job, and parts that a job's ranges are dealt into.
 CHUNK, PARTS = 1 << 14, 16
 #: The part of a job that holds its submission.
 WHOLE = -1
+#: Groups that parts of jobs are dealt into, for as long as a stream goes on. A group's state is one
+#: entry, so a row makes no more than that be written anew.
+GROUPS = 1 << 14
 
 COUNTED = "job_id long, part int, total_pages long, processed_pages long, failed_pages long, dropped_pages long, last_page long"
+ROW = ["job_id", "part", "kind", "page", "failed", "total_pages"]
+KINDS = ("page", "dropped", "submitted", "forget")
+PAGE, DROPPED, SUBMITTED, FORGET = range(4)
+#: What stands for a number that isn't there.
+NONE = np.iinfo(np.int64).min
 
 
-class PageCounts(StatefulProcessor):
-    """Counts the pages of a part of a job, each once of each kind; the first result of a page counts."""
+def packed(columns: np.ndarray) -> bytes:
+    """Whole numbers, a row for each column, as bytes: differences, as sorted numbers differ little."""
+    return zlib.compress(np.diff(columns, prepend=np.int64(0), axis=1).tobytes(), 1)
 
-    def __init__(self, ttl_ms: int | None):
-        self.ttl_ms = ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getValueState("counts", "total long, done long, failed long, dropped long, last long", self.ttl_ms)
-        self.seen = handle.getMapState("seen", "dropped boolean, chunk long", "pages binary", self.ttl_ms)
-
-    def fresh(self, dropped: bool, pages: np.ndarray) -> np.ndarray:
-        """Which of different pages haven't been seen; from now on they have."""
-        out = np.zeros(len(pages), bool)
-        chunks = pages // CHUNK
-        for chunk in np.unique(chunks).tolist():
-            at = np.flatnonzero(chunks == chunk)
-            held = self.seen.getValue((dropped, chunk)) if self.seen.containsKey((dropped, chunk)) else None
-            bits = np.unpackbits(np.frombuffer(held[0], np.uint8)) if held else np.zeros(CHUNK, np.uint8)
-            place = pages[at] - chunk * CHUNK
-            out[at] = bits[place] == 0
-            if out[at].any():
-                bits[place] = 1
-                self.seen.updateValue((dropped, chunk), (np.packbits(bits).tobytes(),))
-        return out
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.int64).reshape(columns, -1), axis=1)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))  # a micro-batch's rows of one part of one job
-        if batch["kind"].eq("forget").any():
-            self.counts.clear()
-            self.seen.clear()
-        total, done, failed, dropped, last = self.counts.get() if self.counts.exists() else (None, 0, 0, 0, None)
-        submitted = batch.loc[batch["kind"].eq("submitted"), "total_pages"]
-        if len(submitted):
-            total = max(total or 0, int(submitted.fillna(0).max()))
-        for kind in ("page", "dropped"):
-            own = batch[batch["kind"].eq(kind) & batch["page"].notna()].drop_duplicates("page")
-            if not len(own):
-                continue
-            pages = own["page"].to_numpy(np.int64)
-            new = self.fresh(kind == "dropped", pages)
-            if kind == "page":
-                done, failed = done + int(new.sum()), failed + int((new & own["failed"].fillna(False).to_numpy(bool)).sum())
-                last = max(x for x in (last, int(pages.max())) if x is not None)
-            else:
-                dropped += int(new.sum())
-        if total is not None or done or dropped:
-            self.counts.update((total, done, failed, dropped, last))
-        yield pd.DataFrame({"job_id": [key[0]], "part": [key[1]], "total_pages": pd.array([total], "Int64"), "processed_pages": [done], "failed_pages": [failed], "dropped_pages": [dropped], "last_page": pd.array([last], "Int64")})
 
-    def close(self) -> None:
-        pass
+class PageCounts:
+    """Counts the pages of the parts of jobs of a group, each once of each kind; the first result of a page counts.
+
+    The state holds a column for each part of a job (job, part, total, done, failed, dropped, last
+    page, time of its last row) and one for each page that was seen (place of its part, kind,
+    page), in order.
+    """
+
+    STATE = "parts binary, pages binary"
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def held(self, state: GroupState, now: int) -> tuple[np.ndarray, np.ndarray]:
+        """The parts and the pages of the state, without parts that are too old."""
+        if not state.exists:
+            return np.zeros((8, 0), np.int64), np.zeros((3, 0), np.int64)
+        parts, pages = (unpacked(data, n) for data, n in zip(state.get, (8, 3), strict=True))
+        return parts, pages if self.ttl_ms is None else pages[:, now - parts[7][pages[0]] < self.ttl_ms]
+
+    def keep(self, state: GroupState, parts: np.ndarray, pages: np.ndarray, now: int) -> None:
+        """The state from now on: the parts that count anything, and their pages."""
+        counts = (parts[2] != NONE) | (parts[3] > 0) | (parts[5] > 0)
+        place = np.cumsum(counts) - 1
+        parts, pages = parts[:, counts], pages[:, counts[pages[0]]]
+        if not parts.size:
+            state.remove()
+            return
+        state.update((packed(parts), packed(np.vstack([place[pages[0]], pages[1:]]))))
+        if self.ttl_ms is not None:
+            state.setTimeoutDuration(max(1, int(parts[7].min()) + self.ttl_ms - now))
+
+    def __call__(self, key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        parts, pages = self.held(state, now)
+        batch = [*rows]  # a micro-batch's rows of one group; none if a timer has woken it
+        job, part, kind, page, failed, total = (np.concatenate([np.zeros(0, np.int64), *(b[c].to_numpy(np.int64) for b in batch)]) for c in ROW)
+        # each part of a job that is held or comes has its place
+        ids, place = np.unique(np.hstack([parts[:2], np.vstack([job, part])]), axis=1, return_inverse=True)
+        place = place.reshape(-1)
+        old, at = place[: parts.shape[1]], place[parts.shape[1] :]
+        new = np.vstack([ids, np.zeros((6, ids.shape[1]), np.int64)])
+        new[2], new[6] = NONE, NONE
+        new[2:, old] = parts[2:]
+        gone = np.zeros(ids.shape[1], bool)
+        gone[at[kind == FORGET]] = True
+        if self.ttl_ms is not None:
+            gone |= (now - new[7] >= self.ttl_ms) & np.isin(np.arange(ids.shape[1]), old)
+        new[2:, gone] = np.array([[NONE], [0], [0], [0], [NONE], [now]])
+        pages = np.vstack([old[pages[0]], pages[1:]])
+        pages = pages[:, ~gone[pages[0]]]
+
+        asked = kind == SUBMITTED
+        np.maximum.at(new[2], at[asked], total[asked])
+        done = kind == PAGE
+        np.maximum.at(new[6], at[done], page[done])
+        came = done | (kind == DROPPED)
+        every = np.hstack([pages, np.vstack([at[came], kind[came], page[came]])])
+        order = np.lexsort(every[::-1])  # stable: what was seen before stays before what comes
+        every = every[:, order]
+        first = np.ones(len(order), bool)
+        first[1:] = (every[:, 1:] != every[:, :-1]).any(axis=0)
+        fresh = first & (order >= pages.shape[1])
+        bad = np.zeros(len(order), bool)
+        bad[fresh] = failed[came][order[fresh] - pages.shape[1]] == 1
+        count = lambda which: np.bincount(every[0, which], minlength=ids.shape[1])
+        new[3] += count(fresh & (every[1] == PAGE))
+        new[4] += count(bad & (every[1] == PAGE))
+        new[5] += count(fresh & (every[1] == DROPPED))
+        touched = np.unique(at)
+        new[7, touched] = now
+        self.keep(state, new, every[:, first], now)
+        if touched.size:
+            out = new[:, touched]
+            whole = lambda x: pd.arrays.IntegerArray(x, x == NONE)
+            yield pd.DataFrame({"job_id": out[0], "part": out[1].astype(np.int32), "total_pages": whole(out[2]), "processed_pages": out[3], "failed_pages": out[4], "dropped_pages": out[5], "last_page": whole(out[6])})
 
 
 def job_states(events: DataFrame, ttl_ms: int | None = None, parts: int = PARTS) -> DataFrame:
@@ -86,18 +130,24 @@ def job_states(events: DataFrame, ttl_ms: int | None = None, parts: int = PARTS)
     counts once of each kind, the first time that it comes, whether its job is known by then or
     not. A job's pages are dealt into ``parts`` parts by ranges of their numbers, so a job of many
     pages is many tasks' work; its submission is a part of its own. A job that is forgotten starts
-    anew with whatever comes after it, and in the same batch. With ``ttl_ms`` entries that nobody
-    forgets go when they haven't changed for so long, so it has to be longer than jobs take.
+    anew with whatever comes after it, and in the same batch. With ``ttl_ms`` parts that nobody
+    forgets go when no row of them has come for so long, so it has to be longer than jobs take.
 
-    Rows without a job count for nobody. The rows that come out are to replace those of their
-    (job_id, part): see :func:`replaced` and :func:`summed`.
+    Parts of jobs are dealt into GROUPS groups by a hash, whose rows of a batch are counted
+    together, so that many small jobs don't cost a call each. Rows without a job count for nobody.
+    The rows that come out are to replace those of their (job_id, part): see :func:`replaced` and
+    :func:`summed`.
     """
     part = F.pmod(F.floor(F.col("page") / CHUNK), F.lit(parts)).cast("int")
     every = F.sequence(F.lit(WHOLE), F.lit(parts - 1))
     own = events.select("job_id", "kind", "page", "failed", "total_pages").where("job_id is not null")
     own = own.where((F.col("kind").isin("page", "dropped") & F.col("page").isNotNull()) | F.col("kind").isin("submitted", "forget"))
     own = own.withColumn("part", F.explode(F.when(F.col("kind") == "forget", every).otherwise(F.array(F.when(F.col("kind") == "submitted", WHOLE).otherwise(part)))))
-    return own.groupBy("job_id", "part").transformWithStateInPandas(PageCounts(ttl_ms), COUNTED, "append", "processingTime" if ttl_ms else "none")
+    code = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1
+    zero = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")).alias(c)
+    own = own.select(F.pmod(F.xxhash64("job_id", "part"), F.lit(GROUPS)).cast("int").alias("group"), F.col("job_id").cast("long").alias("job_id"), "part", code.cast("int").alias("kind"), zero("page"), zero("failed"), zero("total_pages"))
+    count = PageCounts(ttl_ms)
+    return own.groupBy("group").applyInPandasWithState(lambda key, rows, state: count(key, rows, state), COUNTED, PageCounts.STATE, "append", GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def tracked(results: DataFrame, ttl_ms: int | None = None, parts: int = PARTS) -> DataFrame:

@@ -4,12 +4,13 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.operators import jobs
 from pagemill.streaming import apply as streams
-from pagemill.streaming import versioned
+from pagemill.streaming import states, versioned
 
 EVENTS = "job_id long, kind string, page long, failed boolean, total_pages long"
 
@@ -154,6 +155,45 @@ def test_entries_that_nobody_forgets_go_after_a_while(spark, tmp_path):
     assert run((1, "page", 0, False, None))[1][0] == 1  # seen long ago: it counts as the first page of a new count
 
 
+class Held:
+    """A group's state without a stream."""
+
+    def __init__(self):
+        self.now, self.value, self.wakes = 0, None, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        self.wakes = self.now + ms
+
+
+def test_parts_of_a_group_are_counted_together_and_grow_old_one_by_one():
+    count, state = states.PageCounts(100), Held()
+
+    def run(now, *rows):
+        state.now = now
+        batch = [pd.DataFrame(rows, columns=states.ROW)] if rows else []
+        return [tuple(None if x is pd.NA else x for x in r) for out in count((0,), iter(batch), state) for r in out.itertuples(index=False, name=None)]
+
+    far = 2**62
+    assert run(0, (1, 0, states.PAGE, far, 1, 0), (1, 0, states.PAGE, far, 0, 0), (1, 0, states.PAGE, -far, 0, 0), (2, 3, states.DROPPED, far, 0, 0)) == [(1, 0, None, 2, 1, 0, far), (2, 3, None, 0, 0, 1, None)]
+    assert run(60, (2, 3, states.PAGE, 5, 0, 0), (2, -1, states.SUBMITTED, 0, 0, 4)) == [(2, -1, 4, 0, 0, 0, None), (2, 3, None, 1, 0, 1, 5)] and state.wakes == 100
+    assert run(100) == [] and state.wakes == 160  # the first job's part is too old, the second's aren't
+    assert run(120, (1, 0, states.PAGE, far, 0, 0), (2, 3, states.PAGE, 5, 1, 0)) == [(1, 0, None, 1, 0, 0, far), (2, 3, None, 1, 0, 1, 5)]
+    assert run(121, (1, 0, states.FORGET, 0, 0, 0), (2, 3, states.FORGET, 0, 0, 0), (2, -1, states.FORGET, 0, 0, 0)) == [(1, 0, None, 0, 0, 0, None), (2, -1, None, 0, 0, 0, None), (2, 3, None, 0, 0, 0, None)]
+    assert not state.exists
+
+
 def test_the_newest_ended_jobs_stay_and_the_others_are_forgotten(spark, tmp_path):
     schema = "job_id long, ended timestamp, status string"
     add, stream = arrivals(spark, tmp_path, schema)
