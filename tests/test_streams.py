@@ -155,6 +155,25 @@ def test_entries_that_nobody_forgets_go_after_a_while(spark, tmp_path):
     assert run((1, "page", 0, False, None))[1][0] == 1  # seen long ago: it counts as the first page of a new count
 
 
+def test_many_small_jobs_in_a_few_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(states, "GROUPS", 3)
+    rng, run = random.Random(5), Jobs(spark, tmp_path, parts=4)
+    counts: dict[int, dict] = {}
+    for _ in range(3):
+        rows = [(rng.randrange(60), rng.choice(["page"] * 6 + ["dropped", "submitted"]), rng.randrange(-5, 9) * 9_000, False, 7) for _ in range(400)]
+        gone = set(rng.sample(range(60), 9))
+        for j in gone:
+            counts.pop(j, None)
+        for j, kind, page, _, total in rows:
+            own = counts.setdefault(j, {"page": set(), "dropped": set(), "total": None})
+            if kind == "submitted":
+                own["total"] = total
+            else:
+                own[kind].add(page)
+        got = run(*rows, *((j, "forget", None, None, None) for j in gone))
+        assert {j: (n[0], n[2]) for j, n in got.items()} == {j: (len(c["page"]), len(c["dropped"])) for j, c in counts.items() if c["total"]}
+
+
 class Held:
     """A group's state without a stream."""
 
