@@ -66,12 +66,13 @@ def metadata(engine: Column, model: Column, job_id: Column, total_pages: Column,
     return F.to_json(row, {"ignoreNullFields": "false"})
 
 
-def by_suffix(targets: DataFrame, files: DataFrame) -> DataFrame:
+def by_suffix(targets: DataFrame, files: DataFrame, few: bool = False) -> DataFrame:
     """Targets (target) with the file (path, ordinal, any more) that answers to each, if any does.
 
     A file of the same path answers first; else the first file, by ordinal, whose path ends with
     the target's base name. Files are looked up by their endings of the lengths that base names
-    have, and only the first file of each ending is kept before the join.
+    have, and only the first file of each ending is kept before the join. With ``few`` targets
+    (a bounded number) theirs are picked where the files are read, so the others don't move.
     """
     kept = [c for c in files.columns if c != "ordinal"]
     name = F.element_at(F.split("target", "/"), -1)
@@ -80,8 +81,9 @@ def by_suffix(targets: DataFrame, files: DataFrame) -> DataFrame:
     first = lambda rows, by: rows.groupBy(*by).agg(F.min_by(F.struct(*kept), "ordinal").alias("file"))
     ends = files.crossJoin(F.broadcast(sizes)).withColumn("size", F.explode("sizes")).where(F.length("path") >= F.col("size"))
     ending = F.when(F.col("size") == 0, "").otherwise(F.right(F.col("path"), F.col("size"))).alias("name")
-    ends = first(ends.select(*files.columns, ending), ["name"]).withColumnRenamed("file", "by_name")
-    same = first(files.withColumn("target", F.col("path")), ["target"]).withColumnRenamed("file", "by_path")
+    picked = lambda rows, c: rows.join(F.broadcast(asked.select(c).distinct()), c, "left_semi") if few else rows
+    ends = first(picked(ends.select(*files.columns, ending), "name"), ["name"]).withColumnRenamed("file", "by_name")
+    same = first(picked(files.withColumn("target", F.col("path")), "target"), ["target"]).withColumnRenamed("file", "by_path")
     found = asked.join(same, "target", "left").join(ends, "name", "left").select("target", F.coalesce("by_path", "by_name").alias("file"))
     return targets.join(found, "target", "left").select(*targets.columns, "file.*")
 

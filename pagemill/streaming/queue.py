@@ -19,7 +19,8 @@ class ResultSink:
 
     A batch that can't be saved leaves the table as it was; it is written to a log with its rows'
     number and the error, and its documents stay pending, so they come again. While the breaker is
-    open batches fail at once. A batch that comes again after it was saved isn't saved again. What
+    open batches fail at once. New documents are added to the table, of known ones the parts that
+    hold them are written anew. A batch that comes again after it was saved isn't saved again. What
     a saved batch holds is counted in the job that writes it.
     """
 
@@ -49,7 +50,7 @@ class ResultSink:
             return new.observe(seen, F.count_if(own).alias("saved"), F.coalesce(pages, F.lit(0)).cast("long").alias("pages"))
 
         try:
-            self.breaker.call(self.table.update, change, results, number, writer)
+            self.breaker.call(self.table.update, change, results, number, writer, True)
         except Exception as error:  # whatever a sink raises: the batch is kept apart
             rows = self.count(results)
             self.spark.createDataFrame([(writer, number, rows, str(error)[:1000])], FAILED).coalesce(1).write.mode("append").parquet(self.log)

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.operators.pageplan import batches
@@ -18,12 +18,15 @@ LOG = "version long, writer string, number long, parts int, part int, folder str
 ROWS_OF_PART = 1_000_000
 #: Entries of the log after which they are put together, and folders that nothing names removed.
 ENTRIES = 50
+#: Folders of a part beyond which it is written anew.
+FOLDERS = 32
 
 
 @dataclass
 class State:
     """What the log says: the last version, into how many parts the table is dealt, the newest
-    (version, folder, rows) of each part, and the last batch of each writer."""
+    (version, folder, rows) of each part, and the last batch of each writer. A part that batches
+    were added to lies in several folders, named together with ``|`` between them."""
 
     version: int
     parts: int
@@ -31,14 +34,18 @@ class State:
     written: dict[str, int]
     entries: int
 
+    def folders(self, part: int) -> list[str]:
+        folder = self.newest.get(part, (-1, None, 0))[1]
+        return folder.split("|") if folder else []
+
 
 class VersionedTable:
     """Rows are dealt into parts by a hash of their key, into more of them as the table grows.
 
-    A batch reads the parts that its keys touch, writes them anew into a folder of its own, and
-    then adds one file to the log, which appears whole or not at all: it names the folder of each
-    part, the writer, and the writer's number of the batch. Readers take the newest folder of each
-    part. So what a broken-off batch has written is never read, and a batch that comes again after
+    A batch reads the parts that its keys touch, writes them anew (or adds to them, where a change
+    is by key and all keys are new) into a folder of its own, and then adds one file to the log,
+    which appears whole or not at all: it names the folders of each part, the writer, and the
+    writer's number of the batch. Readers take the newest folders of each part. So what a broken-off batch has written is never read, and a batch that comes again after
     it was logged isn't applied again. Each stream is a writer of its own, and so is each caller
     that numbers its batches; versions are counted over all of them. Only one writer may write at a
     time. Every ENTRIES entries the log is put together, and folders that the versions before the
@@ -76,15 +83,26 @@ class VersionedTable:
         return self.rows_of(self.state())
 
     def rows_of(self, state: State, only: set[int] | None = None) -> DataFrame:
-        paths = [f"{self.folder}/{folder}/versioned_part={part}" for part, (_, folder, _) in state.newest.items() if folder and (only is None or part in only)]
+        paths = [f"{self.folder}/{folder}/versioned_part={part}" for part in state.newest if only is None or part in only for folder in state.folders(part)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def update(self, change: Change, batch: DataFrame, number: int | None = None, writer: str = "") -> bool:
+    def part_of(self, parts: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(parts)).cast("int").alias("versioned_part")
+
+    def holding(self, state: State, batch: DataFrame, touched: set[int]) -> set[int]:
+        """The parts that hold keys of the batch already, and those that lie in too many folders."""
+        held = self.rows_of(state, touched).select(self.key).join(batch.select(self.key), self.key, "left_semi")
+        found = {r["versioned_part"] for r in held.select(self.part_of(state.parts)).distinct().collect()}
+        return found | {p for p in touched if len(state.folders(p)) >= FOLDERS}
+
+    def update(self, change: Change, batch: DataFrame, number: int | None = None, writer: str = "", by_key: bool = False) -> bool:
         """The table becomes ``change(table, batch)``, unless this writer's batch, or a later one of it, was applied before.
 
         ``change`` may only return rows of keys that the batch or the touched parts of the table have.
+        With ``by_key`` it has to treat each key for itself: then parts that hold none of the
+        batch's keys aren't written anew, what the batch has for them is added.
         """
         state = self.state()
         number = state.written.get(writer, -1) + 1 if number is None else number
@@ -94,20 +112,22 @@ class VersionedTable:
         try:
             grow = any(rows > ROWS_OF_PART for _, _, rows in state.newest.values())
             parts = state.parts * 2 if grow else state.parts
-            part = F.pmod(F.xxhash64(self.key), F.lit(parts)).cast("int").alias("versioned_part")
+            part = self.part_of(parts)
             touched = {r["versioned_part"] for r in batch.select(part).distinct().collect()}
             if not touched:
                 return False
             touched = set(range(parts)) if grow else touched
+            anew = self.holding(state, batch, touched) if by_key and not grow else touched
             version = state.version + 1
             folder = f"v{version}-{uuid.uuid4().hex}"
-            new = change(self.rows_of(state, None if grow else touched), batch).select("*", part).repartition(len(touched), "versioned_part")
+            new = change(self.rows_of(state, None if grow else anew), batch).select("*", part).repartition(len(touched), "versioned_part")
             new.write.partitionBy("versioned_part").parquet(f"{self.folder}/{folder}")
             written = self.spark.read.schema(f"{self.schema}, versioned_part int").parquet(f"{self.folder}/{folder}")
             there = {r["versioned_part"]: r["count"] for r in written.groupBy("versioned_part").count().collect()}
             if not set(there) <= touched:
                 raise ValueError("a change returned rows of keys that are neither in the batch nor in its parts of the table")
-            rows = [(version, writer, number, parts, p, folder if p in there else None, there.get(p, 0)) for p in sorted(touched)]
+            before = {p: ([], 0) if p in anew else (state.folders(p), state.newest.get(p, (-1, None, 0))[2]) for p in touched}
+            rows = [(version, writer, number, parts, p, "|".join(before[p][0] + [folder] * (p in there)) or None, before[p][1] + there.get(p, 0)) for p in sorted(touched)]
             self.commit([*rows, (version, writer, number, parts, -1, None, 0)])
         finally:
             batch.unpersist()
@@ -129,7 +149,7 @@ class VersionedTable:
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         for name in old:  # whoever reads both old and new entries finds the same state
             files.delete(hadoop.Path(name), False)
-        named = {folder for _, folder, _ in state.newest.values()}
+        named = {folder for part in state.newest for folder in state.folders(part)}
         for found in files.listStatus(path):
             name = found.getPath().getName()
             if name.startswith("v") and name not in named and int(name[1:].split("-")[0]) < state.version:

@@ -12,6 +12,7 @@ from pagemill.functions.json import merged
 from pagemill.operators import accuracy, metrics, pageplan, results, workqueue
 from pagemill.operators.upsert import Breaker
 from pagemill.sources.tables import table
+from pagemill.streaming import versioned
 from pagemill.streaming.queue import Queue, ResultSink
 
 SCHEMA = "document_id long, full_text string, pages int, created_at timestamp, updated_at timestamp"
@@ -63,6 +64,43 @@ def test_a_write_that_fails_leaves_the_old_version_and_its_rows_come_again(spark
     assert sink.save(batch(0), 2) == {"saved": 1, "pages": 2} and sink.read().count() == 6
 
 
+def written(spark, folder):
+    """The rows of all folders of a table, whether they are read or not."""
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").parquet(*map(str, folder.glob("v*"))).count()
+
+
+def test_new_documents_are_added_and_only_parts_that_hold_known_ones_are_written_anew(spark, tmp_path, monkeypatch):
+    sink = ResultSink(spark, str(tmp_path), SCHEMA)
+    batch = lambda ids, text: spark.createDataFrame([(k, text, 2) for k in ids], "document_id long, full_text string, pages int")
+    for k in range(4):
+        assert sink.save(batch(range(k * 50, k * 50 + 50), "first"), k) == {"saved": 50, "pages": 100}
+    assert written(spark, tmp_path / "results") == 200 == sink.read().count()
+    state = sink.table.state()
+    assert sum(rows for _, _, rows in state.newest.values()) == 200 and max(len(state.folders(p)) for p in state.newest) == 4
+    before = {r["document_id"]: r["created_at"] for r in sink.read().collect()}
+    assert sink.save(batch([7, 500], "second"), 4) == {"saved": 2, "pages": 4}  # one part is written anew, another added to
+    assert 200 < written(spark, tmp_path / "results") < 260
+    got = {r["document_id"]: r for r in sink.read().collect()}
+    assert len(got) == 201 == sink.read().count() and {k for k, r in got.items() if r["full_text"] == "second"} == {7, 500}
+    assert {k: got[k]["created_at"] for k in before} == before
+    # what lies in many folders is put together, and the log with all folders of a part
+    monkeypatch.setattr(versioned, "FOLDERS", 3)
+    monkeypatch.setattr(versioned, "ENTRIES", 4)
+    assert sink.save(batch(range(600, 700), "third"), 5) == {"saved": 100, "pages": 200}
+    state = sink.table.state()
+    assert max(len(state.folders(p)) for p in state.newest) <= 3
+    assert sink.save(batch(range(700, 720), "third"), 6) == {"saved": 20, "pages": 40}
+    assert sorted(r["document_id"] for r in sink.read().collect()) == [*range(200), 500, *range(600, 720)]
+    assert sink.save(batch([None], "none"), 7) is None and sink.read().count() == 321
+
+
+def test_few_targets_find_the_same_files(spark):
+    files = spark.createDataFrame([("/a/x.pdf", 1), ("/b/x.pdf", 0), ("/b/y.pdf", 2), ("/b/xx.pdf", 3), ("", 4), ("/b/x.pdf", 5)], "path string, ordinal int")
+    targets = spark.createDataFrame([("/a/x.pdf",), ("/q/x.pdf",), ("/q/y.pdf",), ("/q/z.pdf",), ("/q/",), (None,), ("",)], "target string")
+    found = [sorted(map(repr, results.by_suffix(targets, files.withColumn("at", F.col("ordinal")), few).collect())) for few in (False, True)]
+    assert found[0] == found[1] and len(found[0]) == 7
+
+
 def test_numbers_by_date_and_text(spark, monkeypatch):
     monkeypatch.setattr(pageplan, "ROWS_OF_PART", 20)
     rows = spark.createDataFrame([(k, dt.date(2024, 1, 1 + k % 9) if k % 7 else None, f"t{k % 4}") for k in range(150)], "k long, d date, t string").repartition(4)
